@@ -88,11 +88,11 @@ def _type_is(kind: Column, *prefixes: str) -> Column:
     return condition
 
 
-def field_error(item: Column, field: Field) -> Column:
-    """Error text of one field of one item, or NULL."""
-    value = F.try_variant_get(item, f"$.{field.path}", "variant")
-    text = F.try_variant_get(item, f"$.{field.path}", "string")
-    kind = F.schema_of_variant(value)
+def field_error(field: Field, kind: Column, text: Column) -> Column:
+    """Error text of one field, or NULL, from its variant type and its value as text.
+
+    The type is NULL where the field is missing and VOID where it is null.
+    """
     is_text = kind == "STRING"
     is_number = _type_is(kind, "BIGINT", "DECIMAL", "DOUBLE", "FLOAT")
     error = lambda message: F.lit(f"{field.path}: {message}")
@@ -124,15 +124,46 @@ def field_error(item: Column, field: Field) -> Column:
 
     missing = error("field required") if field.required else F.lit(None).cast("string")
     null = F.lit(None).cast("string") if field.nullable else error("must not be null")
-    return F.when(value.isNull(), missing).when(kind == "VOID", null).otherwise(check)
+    return F.when(kind.isNull(), missing).when(kind == "VOID", null).otherwise(check)
+
 
+# Kinds whose check looks at the value, not only at its type.
+_VALUE_KINDS = ("int", "bool", "datetime", "nonempty", "title")
 
-def item_error(item: Column, contract: Contract) -> Column:
-    """All contract errors of an item as one text, or NULL for a valid item."""
-    is_object = _type_is(F.schema_of_variant(item), "OBJECT")
-    errors = F.array_compact(F.array(*[field_error(item, f) for f in contract.fields]))
-    return F.when(~is_object, F.lit("<root>: must be an object")).otherwise(
-        F.nullif(F.array_join(errors, "; "), F.lit(""))
+
+def with_item_errors(items: DataFrame) -> DataFrame:
+    """Add ``error``: all contract errors of an item as one text, NULL for a valid one.
+
+    Type and text of the n-th field of each contract share a column, and are read from the item
+    once; the rules then work on plain strings.
+    """
+    slots = range(max(len(c.fields) for c in CONTRACTS.values()))
+    source, item = F.col("source"), F.col("item")
+    probes, errors = {"_type": F.schema_of_variant(item)}, []
+    for n in slots:
+        kind = text = error = None
+        for name, contract in CONTRACTS.items():
+            if n >= len(contract.fields):
+                continue
+            field = contract.fields[n]
+            here, path = source == name, f"$.{field.path}"
+            value = F.try_variant_get(item, path, "variant")
+            kind = (F if kind is None else kind).when(here, F.schema_of_variant(value))
+            if field.kind in _VALUE_KINDS:
+                as_text = F.try_variant_get(item, path, "string")
+                text = (F if text is None else text).when(here, as_text)
+            problem = field_error(field, F.col(f"_kind{n}"), F.col(f"_text{n}"))
+            error = (F if error is None else error).when(here, problem)
+        probes[f"_kind{n}"] = kind
+        probes[f"_text{n}"] = F.lit(None).cast("string") if text is None else text
+        errors.append(error)
+    listed = F.nullif(F.concat_ws("; ", *errors), F.lit(""))
+    return items.withColumns(probes).select(
+        *items.columns,
+        F.when(F.col("item_index").isNull(), F.lit(None).cast("string"))
+        .when(~_type_is(F.col("_type"), "OBJECT"), F.lit("<root>: must be an object"))
+        .otherwise(listed)
+        .alias("error"),
     )
 
 
@@ -177,14 +208,14 @@ def parse_responses(responses: DataFrame) -> DataFrame:
     )
     item = F.col("item")
     has_item = F.col("item_index").isNotNull()
-    return exploded.select(
+    return with_item_errors(exploded).select(
         *kept,
         F.concat("source", F.lit(":"), "board").alias("company_key"),
         "response_error",
         "body",
         "item_index",
         F.try_variant_get(item, "$.id", "string").alias("posting_id"),
-        F.when(has_item, _by_source(source, lambda c: item_error(item, c))).alias("error"),
+        "error",
         F.when(has_item, canonical_json(item)).alias("payload"),
     )
 

@@ -47,7 +47,7 @@ def manifest_of(manifests: DataFrame, company_key: str, snapshot_date) -> DataFr
     )
 
 
-def previous_ok(manifests: DataFrame, value: str) -> Column:
+def previous_ok(value: str) -> Column:
     """``value`` of the board's most recent successful day strictly before each row."""
     before = (
         Window.partitionBy("company_key")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +40,7 @@ MARTS = [
     "mart_remote_share",
     "mart_entry_level_share",
 ]
+CONCURRENT_MARTS = 4
 _DAILY_COLUMNS = [name for name, _ in columns_of(DAILY)]
 
 
@@ -126,8 +128,14 @@ def build(lake: Lake, rules: Rules | None = None, full_refresh: bool = False) ->
 
     current = current_spells(_stored(lake, base, "spells", SPELLS, number), watermarks)
     log = _stored(lake, base, "daily_log", DAILY_LOG, number)
-    for name, mart in _marts(lake, rules, daily, current, log).items():
-        write(mart, f"marts/{name}")
+    # The marts are independent and mostly small: their jobs share the cluster.
+    with ThreadPoolExecutor(CONCURRENT_MARTS) as pool:
+        jobs = [
+            pool.submit(write, mart, f"marts/{name}")
+            for name, mart in _marts(lake, rules, daily, current, log).items()
+        ]
+        for job in jobs:
+            job.result()
     lake.commit("build", number, generation)
     return number
 

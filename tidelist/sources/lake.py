@@ -10,7 +10,7 @@ One landing or build runs at a time.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -37,10 +37,13 @@ SPELLS_LOG = "company_key string, board_watermark string"
 COMMITS = "kind string, number bigint, generation bigint"
 
 
-@dataclass(frozen=True)
+@dataclass
 class Lake:
+    """A view of the lake as of its opening, kept up to date with its own commits."""
+
     spark: SparkSession
     root: str
+    _commits: dict[str, tuple[int, int]] | None = field(default=None, init=False, repr=False)
 
     # -- reading and writing numbered folders --------------------------------------------------
 
@@ -64,13 +67,17 @@ class Lake:
 
     def last_commit(self, kind: str) -> tuple[int, int]:
         """(number, generation) of the newest commit of a kind; (0, 0) before the first."""
-        commits = self._read("commits", COMMITS).where(F.col("kind") == kind)
-        row = commits.agg(F.max(F.struct("number", "generation")).alias("c")).first()
-        return (row.c.number, row.c.generation) if row and row.c else (0, 0)
+        if self._commits is None:
+            newest = F.max(F.struct("number", "generation")).alias("c")
+            rows = self._read("commits", COMMITS).groupBy("kind").agg(newest).collect()
+            self._commits = {r.kind: (r.c.number, r.c.generation) for r in rows}
+        return self._commits.get(kind, (0, 0))
 
     def commit(self, kind: str, number: int, generation: int = 0) -> None:
+        self.last_commit(kind)
         record = self.spark.createDataFrame([(generation,)], "generation bigint").coalesce(1)
         self._write(record, f"commits/kind={kind}/number={number}")
+        self._commits[kind] = (number, generation)
 
     # -- bronze --------------------------------------------------------------------------------
 
