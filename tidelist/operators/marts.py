@@ -158,7 +158,7 @@ def postings_of_spells(spells: DataFrame) -> DataFrame:
     )
 
 
-def _by_role_and_overall(counts: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
+def by_role_and_overall(counts: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
     """Counts per role and keys, plus the same over all roles, from pre-aggregated counts."""
     both = F.explode(F.array(F.col("role_family"), F.lit(fixed.ALL_ROLES)))
     return (
@@ -171,14 +171,14 @@ def _by_role_and_overall(counts: DataFrame, keys: list[str], measures: list[str]
 def skill_demand(spells: DataFrame, bridge: DataFrame) -> DataFrame:
     """Share of postings, ever seen and open now, that mention each skill."""
     postings = postings_of_spells(spells)
-    totals = _by_role_and_overall(
+    totals = by_role_and_overall(
         postings.groupBy("role_family").agg(
             F.count("*").alias("postings_total"), F.count_if("is_open").alias("open_total")
         ),
         [],
         ["postings_total", "open_total"],
     )
-    mentions = _by_role_and_overall(
+    mentions = by_role_and_overall(
         postings.join(bridge, "posting_key")
         .groupBy("role_family", "skill", "category")
         .agg(
@@ -248,7 +248,7 @@ def entry_level_share(daily: DataFrame) -> DataFrame:
             F.count_if("is_entry_level").alias("entry_level_postings"),
         )
     )
-    return _by_role_and_overall(counted, ["week_start"], measures).select(
+    return by_role_and_overall(counted, ["week_start"], measures).select(
         "week_start",
         "role_family",
         *measures,
