@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Cast alone would also accept words such as "yesterday" or "now".
-_ISO = (
+ISO_PATTERN = (
     r"^\s*\d{4}-\d{2}-\d{2}"
     r"([Tt ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?\s*([Zz]|[+-]\d{2}(:?\d{2})?)?)?\s*$"
 )
@@ -14,7 +14,7 @@ _ISO = (
 
 def utc_timestamp(text: Column) -> Column:
     """Instant of an ISO-8601 text (UTC when it names no offset); anything else is NULL."""
-    return F.when(text.rlike(_ISO), F.upper(F.trim(text)).try_cast("timestamp"))
+    return F.when(text.rlike(ISO_PATTERN), F.upper(F.trim(text)).try_cast("timestamp"))
 
 
 def millis_timestamp(millis: Column) -> Column:

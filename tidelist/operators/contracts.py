@@ -11,8 +11,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelist.functions.dates import utc_timestamp
+from tidelist.functions.dates import ISO_PATTERN
 from tidelist.functions.payload import canonical_json
+from tidelist.functions.text import sql_text
 
 
 @dataclass(frozen=True)
@@ -81,50 +82,64 @@ CONTRACTS = {
 BOOLEAN_WORDS = ["0", "1", "f", "t", "n", "y", "no", "yes", "off", "on", "false", "true"]
 
 
-def _type_is(kind: Column, *prefixes: str) -> Column:
-    condition = F.startswith(kind, F.lit(prefixes[0]))
-    for prefix in prefixes[1:]:
-        condition = condition | F.startswith(kind, F.lit(prefix))
-    return condition
+_NUMBERS = "({kind} LIKE 'BIGINT%' OR {kind} LIKE 'DECIMAL%' OR {kind} IN ('DOUBLE', 'FLOAT'))"
 
-
-def field_error(field: Field, kind: Column, text: Column) -> Column:
-    """Error text of one field, or NULL, from its variant type and its value as text.
-
-    The type is NULL where the field is missing and VOID where it is null.
-    """
-    is_text = kind == "STRING"
-    is_number = _type_is(kind, "BIGINT", "DECIMAL", "DOUBLE", "FLOAT")
-    error = lambda message: F.lit(f"{field.path}: {message}")
-
-    if field.kind == "int":
-        whole = text.rlike(r"^\s*[+-]?\d+(\.0*)?([eE]\+?\d+)?\s*$")
-        check = F.when(
-            ~((is_number | is_text) & whole | (kind == "BOOLEAN")), error("must be an integer")
+# Per kind: (condition of a failing value, message), tried in order. ``kind`` is the variant type
+# of a value that is neither missing nor null, ``text`` its value as text.
+_KIND_RULES = {
+    "int": [
+        (
+            f"NOT (({_NUMBERS} OR {{kind}} = 'STRING')"
+            r" AND {text} RLIKE r'^\s*[+-]?\d+(\.0*)?([eE]\+?\d+)?\s*$' OR {kind} = 'BOOLEAN')",
+            "must be an integer",
         )
-    elif field.kind == "bool":
-        word = F.lower(text).isin(BOOLEAN_WORDS)
-        check = F.when(
-            ~((kind == "BOOLEAN") | (is_number | is_text) & word), error("must be a boolean")
+    ],
+    "bool": [
+        (
+            f"NOT ({{kind}} = 'BOOLEAN' OR ({_NUMBERS} OR {{kind}} = 'STRING')"
+            f" AND lower({{text}}) IN ({', '.join(map(sql_text, BOOLEAN_WORDS))}))",
+            "must be a boolean",
         )
-    elif field.kind == "datetime":
-        check = F.when(
-            ~(is_number | is_text & utc_timestamp(text).isNotNull()),
-            error("must be an ISO-8601 date and time"),
+    ],
+    "datetime": [
+        (
+            f"NOT ({_NUMBERS} OR {{kind}} = 'STRING' AND {{text}} RLIKE {sql_text(ISO_PATTERN)}"
+            " AND try_cast(upper(trim({text})) AS timestamp) IS NOT NULL)",
+            "must be an ISO-8601 date and time",
         )
-    elif field.kind == "object":
-        check = F.when(~_type_is(kind, "OBJECT"), error("must be an object"))
-    else:
-        check = F.when(~is_text, error("must be a text"))
-        if field.kind == "nonempty":
-            check = check.when(F.length(text) == 0, error("must not be empty"))
-        elif field.kind == "title":
-            check = check.when(F.length(text) == 0, error("must not be empty"))
-            check = check.when(~text.rlike(r"\S"), error("must not be blank"))
+    ],
+    "object": [("{kind} NOT LIKE 'OBJECT%'", "must be an object")],
+    "text": [("{kind} <> 'STRING'", "must be a text")],
+}
+_KIND_RULES["nonempty"] = [*_KIND_RULES["text"], ("{text} = ''", "must not be empty")]
+_KIND_RULES["title"] = [
+    *_KIND_RULES["nonempty"],
+    (r"NOT {text} RLIKE r'\S'", "must not be blank"),
+]
+
 
-    missing = error("field required") if field.required else F.lit(None).cast("string")
-    null = F.lit(None).cast("string") if field.nullable else error("must not be null")
-    return F.when(kind.isNull(), missing).when(kind == "VOID", null).otherwise(check)
+def field_error(field: Field, kind: str, text: str) -> str:
+    """SQL for the error of one field, or NULL.
+
+    ``kind`` and ``text`` name the columns with its variant type (NULL where the field is
+    missing, VOID where it is null) and its value.
+    """
+    missing = "field required" if field.required else None
+    null = None if field.nullable else "must not be null"
+    rules = [
+        (f"{kind} IS NULL", missing),
+        (f"{kind} = 'VOID'", null),
+        *[
+            (condition.replace("{kind}", kind).replace("{text}", text), message)
+            for condition, message in _KIND_RULES[field.kind]
+        ],
+    ]
+    branches = [
+        f"WHEN {condition} THEN "
+        + ("NULL" if message is None else sql_text(f"{field.path}: {message}"))
+        for condition, message in rules
+    ]
+    return f"CASE {' '.join(branches)} END"
 
 
 # Kinds whose check looks at the value, not only at its type.
@@ -135,35 +150,30 @@ def with_item_errors(items: DataFrame) -> DataFrame:
     """Add ``error``: all contract errors of an item as one text, NULL for a valid one.
 
     Type and text of the n-th field of each contract share a column, and are read from the item
-    once; the rules then work on plain strings.
+    once; the rules then work on plain strings. The expressions are generated as SQL text, which
+    Spark parses at once.
     """
-    slots = range(max(len(c.fields) for c in CONTRACTS.values()))
-    source, item = F.col("source"), F.col("item")
-    probes, errors = {"_type": F.schema_of_variant(item)}, []
-    for n in slots:
-        kind = text = error = None
+    probes, errors = {"_type": "schema_of_variant(item)"}, []
+    for n in range(max(len(c.fields) for c in CONTRACTS.values())):
+        kinds, texts, problems = [], [], []
         for name, contract in CONTRACTS.items():
-            if n >= len(contract.fields):
-                continue
-            field = contract.fields[n]
-            here, path = source == name, f"$.{field.path}"
-            value = F.try_variant_get(item, path, "variant")
-            kind = (F if kind is None else kind).when(here, F.schema_of_variant(value))
-            if field.kind in _VALUE_KINDS:
-                as_text = F.try_variant_get(item, path, "string")
-                text = (F if text is None else text).when(here, as_text)
-            problem = field_error(field, F.col(f"_kind{n}"), F.col(f"_text{n}"))
-            error = (F if error is None else error).when(here, problem)
-        probes[f"_kind{n}"] = kind
-        probes[f"_text{n}"] = F.lit(None).cast("string") if text is None else text
-        errors.append(error)
-    listed = F.nullif(F.concat_ws("; ", *errors), F.lit(""))
-    return items.withColumns(probes).select(
+            if n < len(contract.fields):
+                field = contract.fields[n]
+                here, path = f"WHEN source = {sql_text(name)} THEN", sql_text(f"$.{field.path}")
+                value = f"try_variant_get(item, {path}, 'variant')"
+                kinds.append(f"{here} schema_of_variant({value})")
+                if field.kind in _VALUE_KINDS:
+                    texts.append(f"{here} try_variant_get(item, {path}, 'string')")
+                problems.append(f"{here} {field_error(field, f'_kind{n}', f'_text{n}')}")
+        case = lambda branches: f"CASE {' '.join(branches)} END"
+        probes[f"_kind{n}"] = case(kinds)
+        probes[f"_text{n}"] = case(texts) if texts else "CAST(NULL AS string)"
+        errors.append(case(problems))
+    return items.selectExpr("*", *[f"{sql} AS {name}" for name, sql in probes.items()]).selectExpr(
         *items.columns,
-        F.when(F.col("item_index").isNull(), F.lit(None).cast("string"))
-        .when(~_type_is(F.col("_type"), "OBJECT"), F.lit("<root>: must be an object"))
-        .otherwise(listed)
-        .alias("error"),
+        f"""CASE WHEN item_index IS NULL THEN NULL
+          WHEN coalesce(_type, '') NOT LIKE 'OBJECT%' THEN '<root>: must be an object'
+          ELSE nullif(concat_ws('; ', {', '.join(errors)}), '') END AS error""",
     )
 
 

@@ -165,12 +165,13 @@ def flow_versus_spells(flow: DataFrame, spells: DataFrame) -> DataFrame:
 
 def skill_example_failures(cases: DataFrame, vocabulary: list[tuple]) -> DataFrame:
     """Examples whose text is tagged otherwise than stated."""
-    verdict = None
-    for skill, _, pattern in vocabulary:
-        verdict = (F if verdict is None else verdict).when(
-            F.col("skill") == skill, T.found(F.lower("text"), pattern)
-        )
-    return cases.withColumn("matched", verdict).where(
+    branches = [
+        f"WHEN skill = {T.sql_text(skill)} THEN {T.found_sql('_lower', pattern)}"
+        for skill, _, pattern in vocabulary
+    ]
+    lowered = cases.withColumn("_lower", F.lower("text"))
+    matched = lowered.withColumn("matched", F.expr(f"CASE {' '.join(branches)} END"))
+    return matched.drop("_lower").where(
         F.col("matched") != F.col("should_match")
     )
 

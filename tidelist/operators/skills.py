@@ -7,27 +7,25 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelist.functions.text import found
+from tidelist.functions.text import found_sql, sql_text
 from tidelist.operators.normalize import first_per_key
 
 # Patterns per projection: keeps the generated code of one stage at a reasonable size.
 PATTERNS_PER_PASS = 200
 
 
-def tags_of(text: Column, vocabulary: list[tuple[str, str, str]]) -> Column:
-    """Array of (skill, category) for every pattern found in the text.
+def tags_of(text: str, vocabulary: list[tuple[str, str, str]]) -> Column:
+    """Array of (skill, category) for every pattern found in a text column.
 
     The patterns are literals: each is compiled once, where a join against a pattern column would
-    recompile them for every pair.
+    recompile them for every pair. Most texts fail the literal test before any regex is run.
     """
     hits = [
-        F.when(
-            found(text, pattern),
-            F.struct(F.lit(skill).alias("skill"), F.lit(category).alias("category")),
-        )
+        f"CASE WHEN {found_sql(text, pattern)} THEN "
+        f"named_struct('skill', {sql_text(skill)}, 'category', {sql_text(category)}) END"
         for skill, category, pattern in vocabulary
     ]
-    return F.array_compact(F.array(*hits))
+    return F.expr(f"array_compact(array({', '.join(hits)}))")
 
 
 def tag_texts(
@@ -36,8 +34,7 @@ def tag_texts(
     """(keys, skill, category): one row per text and pattern found, whole texts, no shuffle."""
 
     def one_pass(chunk):
-        tags = tags_of(F.col(text), chunk)
-        return texts.select(*keys, F.inline(tags))
+        return texts.select(*keys, F.inline(tags_of(text, chunk)))
 
     chunks = [
         vocabulary[i : i + PATTERNS_PER_PASS]
@@ -76,7 +73,7 @@ def tagged_observations(
     is picked later, among small rows.
     """
     parts = [
-        tags_of(F.col("search_text"), vocabulary[i : i + PATTERNS_PER_PASS])
+        tags_of("search_text", vocabulary[i : i + PATTERNS_PER_PASS])
         for i in range(0, len(vocabulary), PATTERNS_PER_PASS)
     ]
     return postings.select(*keys, search_text().alias("search_text")).select(
