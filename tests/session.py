@@ -16,6 +16,7 @@ def make_session(cpus: str | None = None) -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "12g")
+        .config("spark.sql.codegen.cache.maxEntries", "2000")  # many small plans, over and over
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
