@@ -11,12 +11,17 @@ from tidelist.functions import dates, payload, text
 from tidelist.operators import gates, geo, incremental, lifecycle, manifests, marts, quality
 from tidelist.operators import skills
 from tidelist.operators.normalize import first_per_key, union_sources
+from tidelist.session import spread
 
 # ---- Lifecycle of users per event type -------------------------------------------------------
 # A user who caused an event of a type on a day was "listed" there; a day without a value of at
 # least 5 counts as listed but unreadable. Every seventh day fails for two of the types.
 
 
+def _documents(spark, sf):
+    return spread(table(spark, sf, "documents"))
+
+
 def _event_days(spark, sf):
     return (
         table(spark, sf, "events")
@@ -230,7 +235,7 @@ _WORDS = S.values(WORDS, "words", "skill, category, pattern")
     ON regexp_matches(lower(text), pattern)""",
 )
 def document_tags(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", F.lower("text").alias("txt"))
+    docs = _documents(spark, sf).select("doc_id", F.lower("text").alias("txt"))
     return skills.tag_texts(docs, "txt", WORDS, ["doc_id"])
 
 
@@ -242,7 +247,7 @@ def document_tags(spark, sf):
 )
 def document_skills(spark, sf):
     """The full skill vocabulary on whole documents."""
-    docs = table(spark, sf, "documents").select("doc_id", F.lower("text").alias("txt"))
+    docs = _documents(spark, sf).select("doc_id", F.lower("text").alias("txt"))
     return skills.tag_texts(docs, "txt", RULES.skill_vocabulary, ["doc_id"])
 
 
@@ -259,7 +264,7 @@ def document_skills(spark, sf):
     + "SELECT * FROM demand",
 )
 def document_tag_demand(spark, sf):
-    docs = table(spark, sf, "documents").select(
+    docs = _documents(spark, sf).select(
         F.col("doc_id").cast("string").alias("posting_key"),
         F.col("lang").alias("role_family"),
         F.col("doc_id").alias("last_seen"),
@@ -293,7 +298,7 @@ _FIRST_RULES = [(10, "german", r"\bsch\b"), (20, "english", r"\bthe\b"), (30, "f
 )
 def document_first_rule(spark, sf):
     rules = [(priority, family, pattern) for priority, family, pattern in _FIRST_RULES]
-    return table(spark, sf, "documents").select(
+    return _documents(spark, sf).select(
         "doc_id", text.role_family(F.col("text"), rules).alias("role_family")
     )
 
@@ -337,7 +342,7 @@ def page_entities(spark, sf):
       AS content FROM stripped""",
 )
 def page_text(spark, sf):
-    return table(spark, sf, "pages").select(
+    return spread(table(spark, sf, "pages")).select(
         "page_id", text.html_to_text(F.col("html")).alias("content")
     )
 
@@ -815,7 +820,7 @@ def overlapping_intervals(spark, sf):
 )
 def skill_examples(spark, sf):
     """Documents as examples: English ones are claimed to match their pattern, others not."""
-    cases = table(spark, sf, "documents").select(
+    cases = _documents(spark, sf).select(
         "doc_id",
         "text",
         F.element_at(

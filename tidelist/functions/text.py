@@ -95,7 +95,8 @@ def required_literals(pattern: str) -> list[str] | None:
             runs.append(run)
             run = ""
         best = max([*runs, run], key=len)
-        if len(best) < 2 or any(t == "{" for t in branch):
+        telling = len(best) > 1 or best and not (best.isascii() and (best.isalnum() or best == " "))
+        if not telling or "{" in branch:
             return None
         literals.append(best)
     return literals

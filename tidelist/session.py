@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings: safe to apply to a session that somebody else created.
 RUNTIME = {
@@ -36,3 +36,13 @@ def shared_folder(spark: SparkSession) -> str:
         folder = tempfile.mkdtemp(prefix="tidelist-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Spread a scan that comes in fewer pieces than there are cores.
+
+    For work that is heavy per row on a few small files. A scan with enough splits, which is any
+    large one, is returned as it is: no shuffle is added at scale.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

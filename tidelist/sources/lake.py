@@ -75,8 +75,8 @@ class Lake:
 
     def commit(self, kind: str, number: int, generation: int = 0) -> None:
         self.last_commit(kind)
-        record = self.spark.createDataFrame([(generation,)], "generation bigint").coalesce(1)
-        self._write(record, f"commits/kind={kind}/number={number}")
+        record = self.spark.range(1).select(F.lit(generation).cast("bigint").alias("generation"))
+        self._write(record.coalesce(1), f"commits/kind={kind}/number={number}")
         self._commits[kind] = (number, generation)
 
     # -- bronze --------------------------------------------------------------------------------

@@ -6,6 +6,7 @@ import csv
 import io
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from tidelist import fixed_values as fixed
@@ -67,5 +68,13 @@ class Rules:
         )
 
     def frame(self, spark: SparkSession, name: str) -> DataFrame:
-        """A rule table as a DataFrame (a local relation, so its size is known to Catalyst)."""
-        return spark.createDataFrame(getattr(self, name), RULE_TABLES[name])
+        """A rule table as a DataFrame.
+
+        Handed over as an Arrow table it becomes a local relation: its size is part of the plan,
+        so Spark decides by size whether to broadcast it.
+        """
+        names = [column for column, _ in columns_of(RULE_TABLES[name])]
+        columns = zip(*getattr(self, name), strict=True)
+        return spark.createDataFrame(
+            pa.table(dict(zip(names, map(list, columns), strict=True))), RULE_TABLES[name]
+        )
