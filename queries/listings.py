@@ -569,16 +569,19 @@ def pending_landings(spark, sf):
 @query(
     "changed_boards",
     S.chain(*S.LISTINGS)
-    + """SELECT DISTINCT company_key FROM manifests
-    WHERE status = 'ok' AND snapshot_date > DATE '2024-01-15'""",
+    + """SELECT company_key, CASE WHEN bool_or(day(snapshot_date) % 9 = 4
+        AND snapshot_date <= DATE '2024-01-15') THEN 'rebuilt'
+      WHEN max(snapshot_date) > DATE '2024-01-15' THEN 'extended' ELSE 'unchanged' END AS change
+    FROM manifests WHERE status = 'ok' GROUP BY company_key""",
 )
 def changed_boards(spark, sf):
-    """Boards the second build had to recompute."""
+    """Boards against an earlier state that ended mid-month and lacked some days."""
     ok = manifests.ok_landings(R.lake(spark, sf).manifests())
     early = ok.where(F.col("snapshot_date") <= F.lit(R.FIRST_LOAD_UNTIL))
-    return incremental.changed_boards(
-        lifecycle.board_watermarks(ok), lifecycle.board_watermarks(early)
-    ).select("company_key")
+    last = early.groupBy("company_key").agg(F.max("snapshot_date").alias("last_day"))
+    lacking = early.where(F.dayofmonth("snapshot_date") % 9 != 4)
+    known = lifecycle.board_watermarks(lacking).join(last, "company_key")
+    return incremental.board_changes(ok, known).select("company_key", "change")
 
 
 @query(

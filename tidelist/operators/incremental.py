@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidelist.operators.lifecycle import board_watermarks
+
 LANDING = ["company_key", "snapshot_date", "landing_id"]
 WATERMARK = ["company_key", "board_watermark"]
 
@@ -29,9 +31,41 @@ def current_daily(daily: DataFrame, ok_manifests: DataFrame) -> DataFrame:
     return daily.join(ok_manifests.select(*LANDING), LANDING, "left_semi")
 
 
-def current_spells(spells: DataFrame, watermarks: DataFrame) -> DataFrame:
-    """Spells of the board states that count now."""
-    return spells.join(watermarks.select(*WATERMARK), WATERMARK, "left_semi")
+def board_changes(ok_manifests: DataFrame, loaded: DataFrame) -> DataFrame:
+    """How each board's successful days relate to those its stored spells were computed from.
+
+    ``change`` is ``unchanged``; ``extended`` if days were only added after the last known one,
+    so that spells can be continued; or ``rebuilt`` for new boards and rewritten history.
+    ``loaded`` has (company_key, board_watermark, last_day) of the previous build.
+    """
+    now = board_watermarks(ok_manifests).join(
+        ok_manifests.groupBy("company_key").agg(F.max("snapshot_date").alias("last_day")),
+        "company_key",
+    )
+    known = loaded.select(
+        "company_key",
+        F.col("board_watermark").alias("known_watermark"),
+        F.col("last_day").alias("known_until"),
+    )
+    until_then = board_watermarks(
+        ok_manifests.join(known, "company_key").where("snapshot_date <= known_until")
+    ).withColumnRenamed("board_watermark", "prefix_watermark")
+    unchanged = F.col("board_watermark") == F.col("known_watermark")
+    extended = F.col("prefix_watermark") == F.col("known_watermark")
+    return (
+        now.join(known, "company_key", "left")
+        .join(until_then, "company_key", "left")
+        .select(
+            "company_key",
+            "board_watermark",
+            "last_day",
+            "known_until",
+            F.when(unchanged, "unchanged")
+            .when(extended, "extended")
+            .otherwise("rebuilt")
+            .alias("change"),
+        )
+    )
 
 
 def of_boards(df: DataFrame, boards: DataFrame) -> DataFrame:

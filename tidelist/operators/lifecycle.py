@@ -41,6 +41,20 @@ def snapshot_calendar(
     )
 
 
+_SPELL_COLUMNS = [
+    "posting_spell_key",
+    "spell_number",
+    "first_seen",
+    "last_seen",
+    "closed_at",
+    "is_open",
+    "is_left_censored",
+    "snapshots_observed",
+    "unparsed_snapshots",
+    "days_to_close",
+]
+
+
 def spells(
     parsed: DataFrame,
     unparsed: DataFrame,
@@ -49,6 +63,7 @@ def spells(
     entity: str = "posting_key",
     group: str = "company_key",
     day: str = "snapshot_date",
+    earlier: DataFrame | None = None,
 ) -> DataFrame:
     """Maximal runs of consecutive successful snapshots in which an entity was listed.
 
@@ -60,29 +75,58 @@ def spells(
     once and needs no anti-join; runs share ``snapshot_seq - rank``. Everything after the
     calendar join is keyed by the entity: one shuffle serves both windows and the aggregate, and
     no group is larger than the calendar.
+
+    ``earlier`` holds spells already known up to some day, in the format of the result; then
+    ``parsed`` need only have the later days, and ``unparsed`` may have any. Open spells are
+    resumed from their last day, closed ones are only renumbered.
     """
-    seen = parsed.select(
-        entity, group, day, F.lit(True).alias("is_parsed"), F.struct(*attributes).alias("attrs")
-    )
-    attrs_type = seen.schema["attrs"].dataType
+    attrs = F.struct(*attributes).alias("attrs")
+    attrs_type = parsed.select(attrs).schema["attrs"].dataType
+    keys = [entity, group, day]
+    carried_type = "struct<first_seen: date, snapshots: bigint, unparsed: bigint>"
+    nothing = F.lit(None).cast(carried_type).alias("carried")
+    seen = parsed.select(*keys, F.lit(True).alias("is_parsed"), attrs, nothing)
     listed = unparsed.select(
-        entity,
-        group,
-        day,
-        F.lit(False).alias("is_parsed"),
-        F.lit(None).cast(attrs_type).alias("attrs"),
+        *keys, F.lit(False).alias("is_parsed"), F.lit(None).cast(attrs_type).alias("attrs"), nothing
     ).distinct()
+    if earlier is not None:
+        still_open = earlier.where("is_open")
+        resumed = still_open.select(
+            entity,
+            group,
+            F.col("last_seen").alias(day),
+            F.lit(True).alias("is_parsed"),
+            attrs,
+            F.struct(
+                "first_seen",
+                F.col("snapshots_observed").alias("snapshots"),
+                F.col("unparsed_snapshots").alias("unparsed"),
+            )
+            .cast(carried_type)
+            .alias("carried"),
+        )
+        # What an open spell already counts must not be counted again.
+        known = still_open.select(entity, F.col("last_seen").alias("_known_until"))
+        listed = (
+            listed.join(known, entity, "left")
+            .where(F.col("_known_until").isNull() | (F.col(day) > F.col("_known_until")))
+            .drop("_known_until")
+        )
+        seen = seen.unionByName(resumed)
     observations = seen.unionByName(listed).join(calendar, [group, day])
 
     rank = F.dense_rank().over(Window.partitionBy(entity).orderBy("snapshot_seq"))
     runs = observations.withColumn("run", F.col("snapshot_seq") - rank)
-    last_seq = F.max("snapshot_seq")
-    snapshots = last_seq - F.min("snapshot_seq") + 1
-    parsed_days = F.count_if("is_parsed")
-    grouped = (
+    span = F.max("snapshot_seq") - F.min("snapshot_seq") + 1
+    carried = lambda c: F.coalesce(c - 1, F.lit(0))  # noqa: E731  (its last day is in the span)
+    snapshots = span + carried(F.max("carried.snapshots"))
+    parsed_days = F.count_if("is_parsed") + carried(
+        F.max(F.col("carried.snapshots") - F.col("carried.unparsed"))
+    )
+    found = (
         runs.groupBy(entity, group, "run")
         .agg(
-            F.min(day).alias("first_seen"),
+            F.min(F.coalesce("carried.first_seen", day)).alias("first_seen"),
             F.max(day).alias("last_seen"),
             F.max_by("next_snapshot", "snapshot_seq").alias("closed_at"),
             F.min("first_snapshot").alias("first_snapshot"),
@@ -91,33 +135,35 @@ def spells(
             F.max_by("attrs", F.when(F.col("is_parsed"), F.col("snapshot_seq"))).alias("attrs"),
         )
         .where(F.col("unparsed_snapshots") < F.col("snapshots_observed"))
+        .withColumns(
+            {
+                "posting_spell_key": F.concat(
+                    F.col(entity), F.lit("@"), F.col("first_seen").cast("string")
+                ),
+                "is_open": F.col("closed_at").isNull(),
+                "is_left_censored": F.col("first_seen") == F.col("first_snapshot"),
+                "days_to_close": days_between(F.col("first_seen"), F.col("closed_at")),
+                **{name: F.col(f"attrs.{name}") for name in attributes},
+            }
+        )
+        .drop("run", "attrs", "first_snapshot")
     )
+    if earlier is not None:
+        found = found.unionByName(earlier.where(~F.col("is_open")).select(found.columns))
     number = F.row_number().over(Window.partitionBy(entity).orderBy("first_seen"))
-    return grouped.select(
-        F.concat(F.col(entity), F.lit("@"), F.col("first_seen").cast("string")).alias(
-            "posting_spell_key"
-        ),
-        entity,
-        group,
-        number.cast("bigint").alias("spell_number"),
-        "first_seen",
-        "last_seen",
-        "closed_at",
-        F.col("closed_at").isNull().alias("is_open"),
-        (F.col("first_seen") == F.col("first_snapshot")).alias("is_left_censored"),
-        "snapshots_observed",
-        "unparsed_snapshots",
-        days_between(F.col("first_seen"), F.col("closed_at")).alias("days_to_close"),
-        *[F.col(f"attrs.{name}").alias(name) for name in attributes],
+    key, *rest = _SPELL_COLUMNS
+    return found.withColumn("spell_number", number.cast("bigint")).select(
+        key, entity, group, *rest, *attributes
     )
 
 
-def spell_fact(daily: DataFrame, unparsed: DataFrame, manifests: DataFrame) -> DataFrame:
+def spell_fact(
+    daily: DataFrame, unparsed: DataFrame, manifests: DataFrame, earlier: DataFrame | None = None
+) -> DataFrame:
     """Spells of the current state, with the watermark of the board they were computed from."""
     ok = ok_landings(manifests)
-    return spells(daily, unparsed, snapshot_calendar(ok)).join(
-        board_watermarks(ok), "company_key"
-    )
+    current = spells(daily, unparsed, snapshot_calendar(ok), earlier=earlier)
+    return current.join(board_watermarks(ok), "company_key")
 
 
 def board_watermarks(ok_manifests: DataFrame) -> DataFrame:

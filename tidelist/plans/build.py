@@ -12,19 +12,23 @@ from pyspark.sql import functions as F
 from tidelist.operators import marts, quality
 from tidelist.operators.geo import dim_location
 from tidelist.operators.incremental import (
-    changed_boards,
+    board_changes,
     current_daily,
-    current_spells,
     of_boards,
     pending_landings,
 )
-from tidelist.operators.lifecycle import board_watermarks, daily_fact, spell_fact
+from tidelist.operators.lifecycle import daily_fact, spell_fact
 from tidelist.operators.manifests import ok_landings, unparsed_observations
-from tidelist.operators.normalize import classify, normalize, one_per_snapshot
+from tidelist.operators.normalize import (
+    classify,
+    normalize,
+    one_per_snapshot,
+    union_sources,
+)
 from tidelist.operators.skills import bridge_of_tagged, skill_bridge, tagged_observations
 from tidelist.schemas import DAILY, columns_of, conform
 from tidelist.session import configure
-from tidelist.sources.lake import DAILY_LOG, OBSERVATIONS, SPELLS, SPELLS_LOG, Lake
+from tidelist.sources.lake import DAILY_LOG, OBSERVATIONS, SPELLS, SPELLS_LOG, UNPARSED, Lake
 from tidelist.sources.rules import Rules
 
 MARTS = [
@@ -83,9 +87,10 @@ def observations_of(lines: DataFrame, rules: Rules) -> DataFrame:
 def build(lake: Lake, rules: Rules | None = None, full_refresh: bool = False) -> int:
     """Bring facts and marts up to date with what has landed; returns the build number.
 
-    Only landings that are not loaded yet are read and only boards whose successful days changed
-    are recomputed, from their full history, so the result does not depend on the order in which
-    days arrived. A full refresh starts an empty generation of the stored facts.
+    Only landings that are not loaded yet are read. Boards with new days at the end continue the
+    spells they have; boards whose earlier days changed are recomputed from their full history,
+    so the result does not depend on the order in which days arrived. A full refresh starts an
+    empty generation of the stored facts.
     """
     configure(lake.spark)
     rules = rules or Rules()
@@ -95,8 +100,10 @@ def build(lake: Lake, rules: Rules | None = None, full_refresh: bool = False) ->
         generation += 1
         loaded = lake.spark.createDataFrame([], DAILY_LOG)
         loaded_spells = lake.spark.createDataFrame([], SPELLS_LOG)
+        earlier = lake.spark.createDataFrame([], SPELLS)
     else:
         loaded, loaded_spells = lake.daily_log(), lake.spells_log()
+        earlier = lake.stored_spells()
     base = f"warehouse/generation={generation}"
     write = lambda df, table, by=(): lake._write(
         df, f"{base}/{table}/build={number}", by
@@ -115,18 +122,15 @@ def build(lake: Lake, rules: Rules | None = None, full_refresh: bool = False) ->
         "daily_log",
     )
 
-    stored = _stored(lake, base, "observations", OBSERVATIONS, number)
-    daily = current_daily(stored, ok)
-    watermarks = board_watermarks(ok)
-    changed = changed_boards(watermarks, loaded_spells)
-    unparsed = unparsed_observations(lake.rejected_ids())
-    spells = spell_fact(
-        of_boards(daily, changed), of_boards(unparsed, changed), of_boards(ok, changed)
-    )
-    write(conform(spells, SPELLS), "spells")
-    write(conform(changed, SPELLS_LOG), "spells_log")
+    unread = lake.unparsed_of(pending)
+    write(conform(unread, UNPARSED), "unparsed")
 
-    current = current_spells(_stored(lake, base, "spells", SPELLS, number), watermarks)
+    daily = current_daily(_stored(lake, base, "observations", OBSERVATIONS, number), ok)
+    unparsed = current_daily(_stored(lake, base, "unparsed", UNPARSED, number), ok)
+    write(conform(board_changes(ok, loaded_spells), SPELLS_LOG), "spells_log")
+    boards = lake._read(f"{base}/spells_log/build={number}", SPELLS_LOG)
+    write(conform(_spells(boards, daily, unparsed, ok, earlier), SPELLS), "spells")
+    current = lake._read(f"{base}/spells/build={number}", SPELLS)
     log = _stored(lake, base, "daily_log", DAILY_LOG, number)
     # The marts are independent and mostly small: their jobs share the cluster.
     with ThreadPoolExecutor(CONCURRENT_MARTS) as pool:
@@ -140,6 +144,37 @@ def build(lake: Lake, rules: Rules | None = None, full_refresh: bool = False) ->
     return number
 
 
+def _spells(
+    boards: DataFrame, daily: DataFrame, unparsed: DataFrame, ok: DataFrame, earlier: DataFrame
+) -> DataFrame:
+    """Spells of all boards, with no more work per board than its change asks for."""
+    changes = {
+        r.change: r.known_until
+        for r in boards.groupBy("change").agg(F.min("known_until").alias("known_until")).collect()
+    }
+    of = lambda change: boards.where(F.col("change") == change)
+    parts = [of_boards(earlier, of("unchanged"))]
+    if "extended" in changes:
+        board = of("extended").select("company_key", "known_until")
+        # The literal bound prunes the folders of earlier days.
+        recent = daily.where(F.col("snapshot_date") > F.lit(changes["extended"]))
+        later = recent.join(board, "company_key").where("snapshot_date > known_until")
+        parts.append(
+            spell_fact(
+                later,
+                of_boards(unparsed, board),
+                of_boards(ok, board),
+                of_boards(earlier, board).drop("board_watermark"),
+            )
+        )
+    if "rebuilt" in changes:
+        board = of("rebuilt")
+        parts.append(
+            spell_fact(of_boards(daily, board), of_boards(unparsed, board), of_boards(ok, board))
+        )
+    return union_sources(*parts)
+
+
 def _stored(lake: Lake, base: str, table: str, ddl: str, number: int) -> DataFrame:
     """A stored fact including the folders of the build in progress."""
     rows = lake._read(f"{base}/{table}", f"{ddl}, build bigint")
@@ -177,17 +212,15 @@ def _bridge(lake: Lake, rules: Rules, daily: DataFrame, log: DataFrame) -> DataF
 
 
 def daily(lake: Lake) -> DataFrame:
-    """The snapshot fact."""
+    """The snapshot fact: stored rows of the landings that count now."""
     return current_daily(lake.observations(), ok_landings(lake.manifests())).select(
         _DAILY_COLUMNS
     )
 
 
 def spells(lake: Lake) -> DataFrame:
-    """The spell fact."""
-    return current_spells(
-        lake.stored_spells(), board_watermarks(ok_landings(lake.manifests()))
-    )
+    """The spell fact as of the last build."""
+    return lake.stored_spells()
 
 
 def relation(lake: Lake, name: str) -> DataFrame:

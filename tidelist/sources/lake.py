@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelist.operators.manifests import BOARD_DAY, current_manifests, ok_landings, rejected_ids
-from tidelist.schemas import ATTEMPTS, DAILY, ITEMS, conform
+from tidelist.schemas import ATTEMPTS, DAILY, ITEMS, columns_of, conform
 
 OBSERVATIONS = (
     f"{DAILY}, location_raw string, tags array<struct<skill: string, category: string>>"
@@ -33,7 +33,13 @@ SPELLS = (
 DAILY_LOG = (
     "company_key string, snapshot_date date, landing_id string, vocabulary_version string"
 )
-SPELLS_LOG = "company_key string, board_watermark string"
+SPELLS_LOG = (
+    "company_key string, board_watermark string, last_day date, known_until date, change string"
+)
+UNPARSED = (
+    "company_key string, source string, board string, snapshot_date date, posting_id string, "
+    "posting_key string, landing_id string"
+)
 COMMITS = "kind string, number bigint, generation bigint"
 
 
@@ -110,17 +116,28 @@ class Lake:
         """The current manifest of every board and day."""
         return current_manifests(self.attempts())
 
+    def _items_of(self, landings: DataFrame, *columns: str) -> DataFrame:
+        """Items of some landings, with columns of the landing."""
+        keys = landings.select(*BOARD_DAY, F.col("items_load").alias("load"), *columns)
+        return _prune(self.items(), landings).join(keys, [*BOARD_DAY, "load"])
+
     def lines(self, landings: DataFrame | None = None) -> DataFrame:
         """Valid posting lines of the given (default: all current) successful landings."""
         ok = ok_landings(self.manifests()) if landings is None else landings
-        keys = ok.select(
-            *BOARD_DAY, F.col("items_load").alias("load"), "company", "extracted_at", "landing_id"
+        return (
+            self._items_of(ok, "company", "extracted_at", "landing_id")
+            .where("item_index IS NOT NULL AND error IS NULL")
+            .withColumn("posting_key", F.concat("company_key", F.lit(":"), "posting_id"))
         )
-        valid = self.items().where("item_index IS NOT NULL AND error IS NULL")
-        if landings is not None:
-            valid = _prune(valid, landings)
-        return valid.join(keys, [*BOARD_DAY, "load"]).withColumn(
-            "posting_key", F.concat("company_key", F.lit(":"), "posting_id")
+
+    def unparsed_of(self, landings: DataFrame) -> DataFrame:
+        """Postings the given landings list but could not read."""
+        return (
+            self._items_of(landings, "landing_id")
+            .where("error IS NOT NULL AND posting_id IS NOT NULL")
+            .withColumn("posting_key", F.concat("company_key", F.lit(":"), "posting_id"))
+            .select([name for name, _ in columns_of(UNPARSED)])
+            .distinct()
         )
 
     def rejected_ids(self) -> DataFrame:
@@ -177,11 +194,17 @@ class Lake:
     def daily_log(self) -> DataFrame:
         return self._built("daily_log", DAILY_LOG)
 
+    def _of_last_build(self, table: str, ddl: str) -> DataFrame:
+        number, _ = self.last_commit("build")
+        return self._read(f"{self._generation()}/{table}/build={number}", ddl)
+
     def stored_spells(self) -> DataFrame:
-        return self._built("spells", SPELLS)
+        """The spells as of the last build, complete."""
+        return self._of_last_build("spells", SPELLS)
 
     def spells_log(self) -> DataFrame:
-        return self._built("spells_log", SPELLS_LOG)
+        """The boards as of the last build, and how they had changed."""
+        return self._of_last_build("spells_log", SPELLS_LOG)
 
     def table(self, name: str) -> DataFrame:
         """A mart of the last committed build."""
