@@ -1,8 +1,9 @@
 """What changed since the last build, and what of the stored rows still counts.
 
-Stored facts are append-only and keyed by the landing (daily rows) or the board watermark
-(spells) they came from. Rows are current exactly while that key is: re-landed, emptied, edited
-and withdrawn days drop out of the current view without a delete.
+Stored daily rows are append-only and keyed by the landing they came from. They are current
+exactly while that landing is: re-landed, emptied, edited and withdrawn days drop out of the
+current view without a delete. Spells are stored per build, each board with the watermark of the
+days they were computed from.
 """
 
 from __future__ import annotations
@@ -13,7 +14,6 @@ from pyspark.sql import functions as F
 from tidelist.operators.lifecycle import board_watermarks
 
 LANDING = ["company_key", "snapshot_date", "landing_id"]
-WATERMARK = ["company_key", "board_watermark"]
 
 
 def pending_landings(ok_manifests: DataFrame, loaded: DataFrame) -> DataFrame:
@@ -21,11 +21,6 @@ def pending_landings(ok_manifests: DataFrame, loaded: DataFrame) -> DataFrame:
     return ok_manifests.join(loaded.select(*LANDING), LANDING, "left_anti")
 
 
-def changed_boards(watermarks: DataFrame, loaded: DataFrame) -> DataFrame:
-    """Boards whose set of successful landings differs from what was loaded."""
-    return watermarks.join(loaded.select(*WATERMARK), WATERMARK, "left_anti")
-
-
 def current_daily(daily: DataFrame, ok_manifests: DataFrame) -> DataFrame:
     """Daily rows of the landings that count now."""
     return daily.join(ok_manifests.select(*LANDING), LANDING, "left_semi")
