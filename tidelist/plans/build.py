@@ -26,7 +26,7 @@ from tidelist.operators.normalize import (
     union_sources,
 )
 from tidelist.operators.skills import bridge_of_tagged, skill_bridge, tagged_observations
-from tidelist.schemas import DAILY, columns_of, conform
+from tidelist.schemas import ATTEMPTS, DAILY, columns_of, conform
 from tidelist.session import configure
 from tidelist.sources.lake import DAILY_LOG, OBSERVATIONS, SPELLS, SPELLS_LOG, UNPARSED, Lake
 from tidelist.sources.rules import Rules
@@ -109,7 +109,10 @@ def build(lake: Lake, rules: Rules | None = None, full_refresh: bool = False) ->
         df, f"{base}/{table}/build={number}", by
     )
 
-    ok = ok_landings(lake.manifests())
+    # Resolved once and written: everything below, and every reader, sees the same state.
+    write(conform(lake.manifests(), ATTEMPTS), "manifests")
+    manifests = lake._read(f"{base}/manifests/build={number}", ATTEMPTS)
+    ok = ok_landings(manifests)
     pending = pending_landings(ok, loaded)
     version = vocabulary_version(rules)
     write(
@@ -136,7 +139,7 @@ def build(lake: Lake, rules: Rules | None = None, full_refresh: bool = False) ->
     with ThreadPoolExecutor(CONCURRENT_MARTS) as pool:
         jobs = [
             pool.submit(write, mart, f"marts/{name}")
-            for name, mart in _marts(lake, rules, daily, current, log).items()
+            for name, mart in _marts(lake, rules, manifests, daily, current, log).items()
         ]
         for job in jobs:
             job.result()
@@ -182,10 +185,14 @@ def _stored(lake: Lake, base: str, table: str, ddl: str, number: int) -> DataFra
 
 
 def _marts(
-    lake: Lake, rules: Rules, daily: DataFrame, spells: DataFrame, log: DataFrame
+    lake: Lake,
+    rules: Rules,
+    manifests: DataFrame,
+    daily: DataFrame,
+    spells: DataFrame,
+    log: DataFrame,
 ) -> dict[str, DataFrame]:
     spark = lake.spark
-    manifests = lake.manifests()
     bridge = _bridge(lake, rules, daily, log)
     return {
         "dim_company": marts.dim_company(manifests, daily),
@@ -212,8 +219,8 @@ def _bridge(lake: Lake, rules: Rules, daily: DataFrame, log: DataFrame) -> DataF
 
 
 def daily(lake: Lake) -> DataFrame:
-    """The snapshot fact: stored rows of the landings that count now."""
-    return current_daily(lake.observations(), ok_landings(lake.manifests())).select(
+    """The snapshot fact as of the last build: stored rows of the landings that count."""
+    return current_daily(lake.observations(), ok_landings(lake.built_manifests())).select(
         _DAILY_COLUMNS
     )
 

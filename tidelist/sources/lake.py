@@ -198,6 +198,10 @@ class Lake:
         number, _ = self.last_commit("build")
         return self._read(f"{self._generation()}/{table}/build={number}", ddl)
 
+    def built_manifests(self) -> DataFrame:
+        """The manifests the last build worked with."""
+        return self._of_last_build("manifests", ATTEMPTS)
+
     def stored_spells(self) -> DataFrame:
         """The spells as of the last build, complete."""
         return self._of_last_build("spells", SPELLS)
