@@ -3,20 +3,38 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from pathlib import Path
+from tempfile import mkdtemp
 from uuid import uuid4
+from zipfile import ZipFile
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+import tidelist
 from tidelist.session import shared_folder
 
 # Rows per Arrow batch: texts of 100 KB then make batches of 50 MB.
 BATCH_ROWS = 500
+PACKAGE = "tidelist.zip"
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, as ``--py-files`` would, once per application."""
+    context = spark.sparkContext
+    if PACKAGE not in context._python_includes:
+        root = Path(tidelist.__file__).parent
+        packed = Path(mkdtemp(prefix="py-files-")) / PACKAGE
+        with ZipFile(packed, "w") as archive:
+            for source in sorted(root.rglob("*.py")):
+                archive.write(source, Path(root.name) / source.relative_to(root))
+        context.addPyFile(str(packed))
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Keep Arrow batches of texts small, whatever the length of the texts."""
+    """Ship the package; keep Arrow batches of texts small, whatever the length of the texts."""
+    ship(spark)
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") != str(BATCH_ROWS):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark
