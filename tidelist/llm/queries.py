@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelist.llm import bpe, idfile, langid, packing, urlfilter
+from tidelist.llm import bpe, idfile, langid, minhash, packing, urlfilter
 from tidelist.llm.common import prepare, scratch
 from tidelist.session import configure
 
@@ -49,6 +49,11 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idfile.read(spark, idfile.write(docs, WORD_BPE, 2, scratch(spark, "idfiles")))
 
 
+@query
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=4)
+
+
 @query
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents")).drop("text")
