@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelist.llm import bpe, idfile, langid, minhash, packing, urlfilter
+from tidelist.llm import bpe, idfile, langid, minhash, packing, substring, urlfilter
 from tidelist.llm.common import prepare, scratch
 from tidelist.session import configure
 
@@ -31,6 +31,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.Repeats(table(spark, sf_dir, "documents")).counts()
+
+
 @query
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), WORD_BPE, 1)
