@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelist.llm import bpe, idfile, langid, minhash, packing, substring, urlfilter
+from tidelist.llm import bpe, bsi, idfile, langid, minhash, packing, permindex, substring, urlfilter
 from tidelist.llm.common import prepare, scratch
 from tidelist.session import configure
 
@@ -42,6 +42,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+@query
+def op4_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permindex.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @query
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -64,6 +69,11 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents")).drop("text")
 
 
+@query
+def op9_bit_sliced_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bsi.largest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
 
 
