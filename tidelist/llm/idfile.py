@@ -156,7 +156,7 @@ def _write_file(path: str, batches: Iterator[pa.RecordBatch]) -> tuple[int, int]
     for batch in batches:
         if out is None:
             store, root = file_system(path)
-            out = store.open_output_stream(root)
+            out = store.open_output_stream(root, compression=None)
             out.write(MAGIC)
             at = len(MAGIC)
         rows = np.zeros(batch.num_rows, _INDEX)

@@ -8,12 +8,43 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelist.llm import bpe, bsi, idfile, langid, minhash, packing, permindex, substring, urlfilter
+from tidelist.llm import bpe, bsi, idfile, langid, minhash, packing, permindex, substring, urlfilter, warc
 from tidelist.llm.common import prepare, scratch
 from tidelist.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_seekable_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+        d AS (
+            SELECT page_id, strlen(payload) AS payload_bytes, sha1(payload) AS payload_digest,
+                CASE WHEN strlen(payload) >= 1000
+                    THEN max(page_id) OVER (PARTITION BY sha1(payload)) ELSE page_id END AS latest
+            FROM p
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+            CASE WHEN page_id = latest THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN page_id <> latest THEN latest END AS refers_to
+        FROM d
+    """,
+    "op9_bit_sliced_top": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e
+            FROM embeddings
+            WHERE len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+        ),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2]))::BIGINT AS score
+            FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0
+        ),
+        r AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+            FROM s
+        )
+        SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5
+    """,
+}
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -42,6 +73,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+@query
+def op3_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read(warc.write(table(spark, sf_dir, "pages"), scratch(spark, "warc")))
+
+
 @query
 def op4_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return permindex.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
