@@ -465,11 +465,11 @@ def report_headline(spark, sf):
 
 @query(
     "report_mode_banner",
-    "SELECT 'banner' AS banner_class WHERE EXISTS (SELECT 1 FROM events)",
+    S.chain(*S.LISTINGS) + "SELECT CASE WHEN count(*) > 0 THEN 'fixture' END AS mode FROM manifests",
 )
 def report_mode_banner(spark, sf):
     headline = report.headline(R.manifests(spark, sf), R.spells(spark, sf))
-    return report.mode_banner(headline).select("banner_class")
+    return report.mode_banner(headline).select("mode")
 
 
 @query(

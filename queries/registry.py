@@ -1,9 +1,8 @@
 """Query registration and the frames derived from the given tables.
 
 The given tables hold no listings, so responses of three providers are derived from ``events``
-(who was seen on which board and day), ``part`` and ``nation`` (texts): one item per event type,
-user and day, twice if the user was seen more than once. A board serves 50 users, so a response
-has at most 100 items. Bad records, failed requests, unusable bodies and truncated responses are
+(who was seen on which board and day), ``part`` and ``nation`` (texts): one item per event. A board
+serves 50 users, whose events of one type and day make up a response. Bad records, failed requests, unusable bodies and truncated responses are
 derived from the day and the event's properties.
 """
 
@@ -75,9 +74,8 @@ def derived_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     g = F.floor(F.col("user_id") / 50)
     dom = F.dayofmonth("d")
-    listed = seen.where(~(((dom * 3 + g * 5) % 11 == 0) & (F.col("user_id") % 50 >= 3)))
     located = (
-        listed.join(part, "user_id", "left")
+        seen.join(part, "user_id", "left")
         .withColumn("nation", F.col("user_id") % 25)
         .join(nation, "nation", "left")
     )
@@ -131,7 +129,7 @@ def derived_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(job, F.lit(" - "), p_name).alias("job"),
         location.alias("location"),
         words.alias("words"),
-        F.explode(F.sequence(F.lit(1), F.least("n", F.lit(2)).cast("int"))).alias("copy"),
+        F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("copy"),
     )
     blank = (F.col("v") < 3) | (F.col("response_kind") == 4) & (F.col("k") % 2 == 0)
     return titled.withColumns(
@@ -217,7 +215,7 @@ def _item_json(items: DataFrame) -> DataFrame:
 def derived_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(source, board, snapshot_date, http_status, body) as three providers would answer."""
     items = _item_json(derived_items(spark, sf_dir))
-    # At most 50 users with two copies each make up one body.
+    # The events of one type and day of 50 users make up one body.
     grouped = items.groupBy("source", "board", "d", "response_kind").agg(
         F.array_sort(F.collect_list(F.struct("user_id", "copy", "json"))).alias("items")
     )

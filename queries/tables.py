@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from queries import sql as S
 from queries.registry import RULES, query, table
+from tidelist import fixed_values as fixed
 from tidelist.functions import dates, payload, text
 from tidelist.operators import gates, geo, incremental, lifecycle, manifests, marts, quality
 from tidelist.operators import skills
 from tidelist.operators.normalize import first_per_key, union_sources
-from tidelist.session import spread
 
 # ---- Lifecycle of users per event type -------------------------------------------------------
 # A user who caused an event of a type on a day was "listed" there; a day without a value of at
@@ -19,7 +19,7 @@ from tidelist.session import spread
 
 
 def _documents(spark, sf):
-    return spread(table(spark, sf, "documents"))
+    return table(spark, sf, "documents")
 
 
 def _event_days(spark, sf):
@@ -78,30 +78,34 @@ calendar AS (
 )
 """
 
+# A run starts where the day before in the calendar is not the user's day before.
 _EVENT_SPELLS = """
-numbered AS (
+placed AS (
   SELECT s.*, c.seq, c.first_day,
-    c.seq - row_number() OVER (PARTITION BY s."user" ORDER BY c.seq) AS island
-  FROM seen AS s JOIN calendar AS c ON c.event_type = s.event_type AND c.day = s.day
+    coalesce(c.seq - lag(c.seq) OVER (PARTITION BY s."user" ORDER BY c.seq), 0) <> 1 AS starts
+  FROM seen AS s, calendar AS c WHERE c.event_type = s.event_type AND c.day = s.day
 ),
-islands AS (
-  SELECT "user", event_type, island, min(day) AS first_seen, max(day) AS last_seen,
-    max(seq) AS last_seq, min(first_day) AS first_day, count(*) AS snapshots_observed,
-    count(*) FILTER (WHERE value < 5) AS unparsed_snapshots,
-    arg_max(k, seq) FILTER (WHERE value >= 5) AS k
-  FROM numbered GROUP BY "user", event_type, island
-  HAVING count(*) FILTER (WHERE value >= 5) > 0
+runs AS (
+  SELECT *, count_if(starts) OVER (PARTITION BY "user" ORDER BY seq) AS run FROM placed
+),
+listed AS (
+  SELECT "user", event_type, run, first_day,
+    list({'seq': seq, 'day': day, 'k': k, 'fine': value >= 5} ORDER BY seq) AS days
+  FROM runs GROUP BY ALL
 ),
 spells AS (
-  SELECT i."user" || '@' || CAST(first_seen AS VARCHAR) AS posting_spell_key, i."user",
-    i.event_type,
-    row_number() OVER (PARTITION BY i."user" ORDER BY first_seen) AS spell_number,
-    first_seen, last_seen, n.day AS closed_at, n.day IS NULL AS is_open,
-    first_seen = i.first_day AS is_left_censored, snapshots_observed, unparsed_snapshots,
-    date_diff('day', first_seen, n.day) AS days_to_close, k,
-    'r' || CAST(k % 5 AS VARCHAR) AS role_family
-  FROM islands AS i
-  LEFT JOIN calendar AS n ON n.event_type = i.event_type AND n.seq = i.last_seq + 1
+  SELECT l."user" || '@' || CAST(days[1].day AS VARCHAR) AS posting_spell_key, l."user",
+    l.event_type, row_number() OVER (PARTITION BY l."user" ORDER BY run) AS spell_number,
+    days[1].day AS first_seen, days[-1].day AS last_seen, gone.day AS closed_at,
+    gone.day IS NULL AS is_open, days[1].day = l.first_day AS is_left_censored,
+    len(days) AS snapshots_observed,
+    len(list_filter(days, lambda d: NOT d.fine)) AS unparsed_snapshots,
+    date_diff('day', days[1].day, gone.day) AS days_to_close,
+    list_filter(days, lambda d: d.fine)[-1].k AS k,
+    'r' || CAST(list_filter(days, lambda d: d.fine)[-1].k % 5 AS VARCHAR) AS role_family
+  FROM listed AS l LEFT JOIN calendar AS gone
+    ON gone.event_type = l.event_type AND gone.seq - 1 = days[-1].seq
+  WHERE len(list_filter(days, lambda d: d.fine)) > 0
 )
 """
 
@@ -342,7 +346,7 @@ def page_entities(spark, sf):
       AS content FROM stripped""",
 )
 def page_text(spark, sf):
-    return spread(table(spark, sf, "pages")).select(
+    return table(spark, sf, "pages").select(
         "page_id", text.html_to_text(F.col("html")).alias("content")
     )
 
@@ -385,13 +389,15 @@ def _titles(spark, sf):
     )
 
 
-_EMPLOYMENT = """CASE
-  WHEN regexp_matches(lower(coalesce(label, '')), 'intern|co-?op') THEN 'internship'
-  WHEN regexp_matches(lower(coalesce(label, '')), 'part') THEN 'part_time'
-  WHEN regexp_matches(lower(coalesce(label, '')), 'contract|temporary|fixed') THEN 'contract'
-  WHEN regexp_matches(lower(coalesce(label, '')), 'full') THEN 'full_time'
-  WHEN regexp_matches(lower(coalesce(title, '')), '\\b(intern|internship|co-?op)\\b')
-    THEN 'internship' ELSE 'unknown' END"""
+_EMPLOYMENT = "coalesce({}, 'unknown')".format(
+    ", ".join(
+        f"CASE WHEN regexp_matches(lower({column}), {S.text(pattern)}) THEN {S.text(kind)} END"
+        for column, pattern, kind in [
+            *(("label", *rule) for rule in fixed.EMPLOYMENT_LABEL_RULES),
+            ("title", fixed.INTERN_TITLE, "internship"),
+        ]
+    )
+)
 
 
 @query(

@@ -130,7 +130,7 @@ def test_report_frames(full):
     )
     assert frames["time_to_close"][0].role_family == "all_roles"
     assert len(frames["top_skills"]) <= 15
-    assert frames["mode_banner"][0].banner_class == "banner"
+    assert frames["mode_banner"][0].mode == "fixture"
     assert [r.company_name for r in frames["extraction_health"]] == sorted(
         f"{key} Inc" for key in B.KEYS
     )

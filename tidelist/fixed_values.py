@@ -291,6 +291,13 @@ ASHBY_WORKPLACE = {"remote": "remote", "hybrid": "hybrid", "onsite": "onsite"}
 
 LOCATION_SEPARATORS = r"[,;()/|-]"
 
+# White space: a title of these characters alone is blank.
+BLANKS = (
+    "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\u00a0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
 # ---- Fixed values: domains and thresholds ----------------------------------------------------
 
 SOURCES = ["greenhouse", "lever", "ashby"]

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelist import fixed_values as fixed
 from tidelist.functions.dates import ISO_PATTERN
 from tidelist.functions.payload import canonical_json
 from tidelist.functions.text import sql_text
@@ -114,7 +115,7 @@ _KIND_RULES = {
 _KIND_RULES["nonempty"] = [*_KIND_RULES["text"], ("{text} = ''", "must not be empty")]
 _KIND_RULES["title"] = [
     *_KIND_RULES["nonempty"],
-    (r"NOT {text} RLIKE r'\S'", "must not be blank"),
+    (f"translate({{text}}, {sql_text(fixed.BLANKS)}, '') = ''", "must not be blank"),
 ]
 
 

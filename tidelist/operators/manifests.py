@@ -63,12 +63,12 @@ def withdrawal(manifests: DataFrame, company_key: str, snapshot_date, reason: st
     Empty when the board has no manifest on that day.
     """
     replaced = F.concat(
-        F.lit("invalidated by operator ("),
-        F.col("status"),
-        F.lit(", "),
-        F.col("posting_count").cast("string"),
-        F.lit(" postings landed): "),
         F.lit(reason),
+        F.lit(" (withdrawn; "),
+        F.col("posting_count").cast("string"),
+        F.lit(" items, "),
+        F.col("status"),
+        F.lit(")"),
     )
     return manifest_of(manifests, company_key, snapshot_date).withColumns(
         {

@@ -109,7 +109,7 @@ def lever_postings(lines: DataFrame) -> DataFrame:
             F.col("p.workplaceType"), fixed.LEVER_WORKPLACE, location
         ),
         employment_type=T.employment_type(F.col("p.categories.commitment"), title),
-        published_at=millis_timestamp(F.col("p.createdAt").try_cast("bigint")),
+        published_at=millis_timestamp(F.trim("p.createdAt").try_cast("decimal(38,6)").try_cast("bigint")),
         posting_url=F.col("p.hostedUrl"),
         description_text=T.html_to_text(description),
     )

@@ -40,26 +40,12 @@ def headline(manifests: DataFrame, spells: DataFrame) -> DataFrame:
 
 
 def mode_banner(headlines: DataFrame) -> DataFrame:
-    """Where the data came from: ``banner`` for fixtures only, ``warn`` for a mix, else NULL."""
-    modes = F.split("fetch_modes", ", ")
+    """What kind of data the totals are from: ``fixture`` alone, ``mixed`` modes, else NULL."""
     return headlines.select(
         "fetch_modes",
-        F.when(F.col("fetch_modes") == "fixture", F.lit("banner"))
-        .when(F.size(modes) > 1, F.lit("banner warn"))
-        .alias("banner_class"),
-        F.when(
-            F.col("fetch_modes") == "fixture",
-            F.lit("Fixture mode: all boards and postings below are synthetic."),
-        )
-        .when(
-            F.size(modes) > 1,
-            F.concat(
-                F.lit("Warning: mixed fetch modes ("),
-                F.col("fetch_modes"),
-                F.lit("); totals combine synthetic and real boards."),
-            ),
-        )
-        .alias("banner_text"),
+        F.when(F.col("fetch_modes") == "fixture", F.lit("fixture"))
+        .when(F.contains("fetch_modes", F.lit(",")), F.lit("mixed"))
+        .alias("mode"),
     )
 
 

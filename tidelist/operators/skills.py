@@ -2,24 +2,17 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelist.functions.text import found_sql, sql_text
 from tidelist.operators.normalize import first_per_key
 
-# Patterns per projection: keeps the generated code of one stage at a reasonable size.
-PATTERNS_PER_PASS = 200
-
+# Patterns per array expression: keeps each generated function at a reasonable size.
+PATTERNS_PER_ARRAY = 200
 
-def tags_of(text: str, vocabulary: list[tuple[str, str, str]]) -> Column:
-    """Array of (skill, category) for every pattern found in a text column.
 
-    The patterns are literals: each is compiled once, where a join against a pattern column would
-    recompile them for every pair. Most texts fail the literal test before any regex is run.
-    """
+def _tags_of_some(text: str, vocabulary: list[tuple[str, str, str]]) -> Column:
     hits = [
         f"CASE WHEN {found_sql(text, pattern)} THEN "
         f"named_struct('skill', {sql_text(skill)}, 'category', {sql_text(category)}) END"
@@ -28,19 +21,29 @@ def tags_of(text: str, vocabulary: list[tuple[str, str, str]]) -> Column:
     return F.expr(f"array_compact(array({', '.join(hits)}))")
 
 
+def tags_of(text: str, vocabulary: list[tuple[str, str, str]]) -> Column:
+    """Array of (skill, category) for every pattern found in a text column.
+
+    The patterns are literals: each is compiled once, where a join against a pattern column would
+    recompile them for every pair. Most texts fail the literal test before any regex is run. All
+    patterns are tried in one projection, however many they are.
+    """
+    if not vocabulary:
+        return F.expr("CAST(array() AS array<struct<skill: string, category: string>>)")
+    parts = [
+        _tags_of_some(text, vocabulary[i : i + PATTERNS_PER_ARRAY])
+        for i in range(0, len(vocabulary), PATTERNS_PER_ARRAY)
+    ]
+    return F.concat(*parts)
+
+
 def tag_texts(
     texts: DataFrame, text: str, vocabulary: list[tuple[str, str, str]], keys: list[str]
 ) -> DataFrame:
     """(keys, skill, category): one row per text and pattern found, whole texts, no shuffle."""
-
-    def one_pass(chunk):
-        return texts.select(*keys, F.inline(tags_of(text, chunk)))
-
-    chunks = [
-        vocabulary[i : i + PATTERNS_PER_PASS]
-        for i in range(0, len(vocabulary), PATTERNS_PER_PASS)
-    ]
-    return reduce(DataFrame.unionByName, [one_pass(chunk) for chunk in chunks])
+    return texts.select(*keys, tags_of(text, vocabulary).alias("tags")).select(
+        *keys, F.inline("tags")
+    )
 
 
 def search_text() -> Column:
@@ -72,12 +75,8 @@ def tagged_observations(
     Texts are read once where they land and only keys and tags travel on: the latest observation
     is picked later, among small rows.
     """
-    parts = [
-        tags_of("search_text", vocabulary[i : i + PATTERNS_PER_PASS])
-        for i in range(0, len(vocabulary), PATTERNS_PER_PASS)
-    ]
     return postings.select(*keys, search_text().alias("search_text")).select(
-        *keys, F.concat(*parts).alias("tags")
+        *keys, tags_of("search_text", vocabulary).alias("tags")
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Runtime settings: safe to apply to a session that somebody else created.
 RUNTIME = {
@@ -26,23 +26,17 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, for tables that cut lineage.
 
-    A cluster names it in ``spark.checkpoint.dir``; only where that is unset (tests, one machine)
-    is a local folder made.
+    A cluster names it in ``spark.checkpoint.dir``. Where that is unset, a session on one machine
+    (``local[...]``) gets a folder of its own; on a cluster that is an error, as executors would
+    write to folders the others don't see.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = spark.sparkContext.getCheckpointDir()
+    if not folder and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not folder:
         folder = tempfile.mkdtemp(prefix="tidelist-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
 
-
-def spread(scan: DataFrame) -> DataFrame:
-    """Spread a scan that comes in fewer pieces than there are cores.
-
-    For work that is heavy per row on a few small files. A scan with enough splits, which is any
-    large one, is returned as it is: no shuffle is added at scale.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

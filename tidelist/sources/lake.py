@@ -218,8 +218,6 @@ class Lake:
         )
 
 
-# Folder names in a filter are literals of the plan; beyond this many the join alone decides.
-_MAX_PRUNED_LOADS = 1000
 
 
 def _prune(items: DataFrame, landings: DataFrame) -> DataFrame:
@@ -228,7 +226,6 @@ def _prune(items: DataFrame, landings: DataFrame) -> DataFrame:
     if span[0] is None:
         return items.where(F.lit(False))
     pruned = items.where(F.col("snapshot_date").between(F.lit(span[0]), F.lit(span[1])))
-    loads = landings.select("items_load").distinct().limit(_MAX_PRUNED_LOADS + 1).collect()
-    if len(loads) > _MAX_PRUNED_LOADS:
-        return pruned
+    # One number per landing, as the commit records that every read goes through.
+    loads = landings.select("items_load").distinct().collect()
     return pruned.where(F.col("load").isin([r[0] for r in loads]))

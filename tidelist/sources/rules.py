@@ -74,6 +74,8 @@ class Rules:
         so Spark decides by size whether to broadcast it.
         """
         names = [column for column, _ in columns_of(RULE_TABLES[name])]
+        if not getattr(self, name):
+            return spark.createDataFrame([], RULE_TABLES[name])
         columns = zip(*getattr(self, name), strict=True)
         return spark.createDataFrame(
             pa.table(dict(zip(names, map(list, columns), strict=True))), RULE_TABLES[name]
