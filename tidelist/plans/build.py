@@ -94,6 +94,7 @@ def build(lake: Lake, rules: Rules | None = None, full_refresh: bool = False) ->
     """
     configure(lake.spark)
     rules = rules or Rules()
+    lake.reopen()
     number, generation = lake.last_commit("build")
     number += 1
     if full_refresh or generation == 0:

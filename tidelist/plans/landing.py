@@ -26,10 +26,17 @@ from tidelist.session import configure
 from tidelist.sources.lake import Lake
 
 
+BOARD = ["source", "board"]
+
+
 class MixedModes(ValueError):
     """The lake already holds data of another fetch mode."""
 
 
+class UnknownBoard(ValueError):
+    """A response is of a board that is not configured."""
+
+
 class UnknownLanding(ValueError):
     """There is no snapshot to withdraw."""
 
@@ -66,11 +73,16 @@ def land(
     items without a committed attempt are invisible.
     """
     configure(lake.spark)
+    lake.reopen()
     if not allow_mixed:
         others = [r[0] for r in conflicting_modes(lake.attempts(), fetch_mode).collect()]
         if others:
             raise MixedModes(f"{lake.root} already holds {', '.join(sorted(others))} data")
-    load = lake.next_load()
+    strangers = responses.select(*BOARD).distinct().join(boards, BOARD, "left_anti")
+    named = sorted(":".join(r) for r in strangers.limit(10).collect())
+    if named:
+        raise UnknownBoard(f"not configured: {', '.join(named)}")
+    load = lake.claim_load()
     lake.write_items(load, parse_responses(responses))
     judged = judge(lake.items_of_load(load), boards, lake.manifests(), policy)
     stamp = noon(F.col("snapshot_date")) if extracted_at is None else extracted_at
@@ -90,7 +102,7 @@ def summary(lake: Lake, load: int) -> DataFrame:
 def invalidate(lake: Lake, company_key: str, snapshot_date: date, reason: str) -> None:
     """Withdraw a landed day; the items stay as evidence, the day stops counting."""
     configure(lake.spark)
-    load = lake.next_load()
+    load = lake.claim_load()
     event = withdrawal(lake.manifests(), company_key, snapshot_date, reason).withColumn(
         "load", F.lit(load).cast("bigint")
     )

@@ -45,11 +45,16 @@ COMMITS = "kind string, number bigint, generation bigint"
 
 @dataclass
 class Lake:
-    """A view of the lake as of its opening, kept up to date with its own commits."""
+    """A view of the lake as of its opening, kept up to date with its own commits.
+
+    Loads are numbered by claims, so that two writers never use the same number, and count once
+    their commit is written: what a failed load left behind is never read.
+    """
 
     spark: SparkSession
     root: str
     _commits: dict[str, tuple[int, int]] | None = field(default=None, init=False, repr=False)
+    _loads: set[int] = field(default_factory=set, init=False, repr=False)
 
     # -- reading and writing numbered folders --------------------------------------------------
 
@@ -77,6 +82,8 @@ class Lake:
             newest = F.max(F.struct("number", "generation")).alias("c")
             rows = self._read("commits", COMMITS).groupBy("kind").agg(newest).collect()
             self._commits = {r.kind: (r.c.number, r.c.generation) for r in rows}
+            landed = self._read("commits", COMMITS).where(F.col("kind") == "landing")
+            self._loads = {r.number for r in landed.select("number").distinct().collect()}
         return self._commits.get(kind, (0, 0))
 
     def commit(self, kind: str, number: int, generation: int = 0) -> None:
@@ -84,12 +91,37 @@ class Lake:
         record = self.spark.range(1).select(F.lit(generation).cast("bigint").alias("generation"))
         self._write(record.coalesce(1), f"commits/kind={kind}/number={number}")
         self._commits[kind] = (number, generation)
+        if kind == "landing":
+            self._loads.add(number)
+
+    def reopen(self) -> None:
+        """See what other writers have committed since."""
+        self._commits = None
 
     # -- bronze --------------------------------------------------------------------------------
 
     def next_load(self) -> int:
         return self.last_commit("landing")[0] + 1
 
+    def claim_load(self) -> int:
+        """The next load number that no other writer has claimed."""
+        self.reopen()
+        number = self.next_load()
+        while True:
+            record = self.spark.range(1).coalesce(1)
+            try:
+                record.write.mode("errorifexists").parquet(f"{self.root}/claims/load={number}")
+                return number
+            except AnalysisException as taken:
+                if taken.getCondition() != "PATH_ALREADY_EXISTS":
+                    raise
+                number += 1
+
+    def _landed(self, rows: DataFrame) -> DataFrame:
+        """Rows of committed loads."""
+        self.last_commit("landing")
+        return rows.where(F.col("load").isin(sorted(self._loads)))
+
     def write_items(self, load: int, items: DataFrame) -> None:
         self._write(conform(items, ITEMS), f"items/load={load}", ("source", "snapshot_date"))
 
@@ -101,16 +133,14 @@ class Lake:
 
     def items(self) -> DataFrame:
         """Items of all committed loads."""
-        last, _ = self.last_commit("landing")
-        return self._read("items", f"{ITEMS}, load bigint").where(F.col("load") <= last)
+        return self._landed(self._read("items", f"{ITEMS}, load bigint"))
 
     def write_attempts(self, load: int, attempts: DataFrame) -> None:
         rows = conform(attempts, ATTEMPTS).drop("load")
         self._write(rows, f"attempts/load={load}")
 
     def attempts(self) -> DataFrame:
-        last, _ = self.last_commit("landing")
-        return self._read("attempts", ATTEMPTS).where(F.col("load") <= last)
+        return self._landed(self._read("attempts", ATTEMPTS))
 
     def manifests(self) -> DataFrame:
         """The current manifest of every board and day."""
