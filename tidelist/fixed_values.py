@@ -312,3 +312,12 @@ ALL_ROLES = "all_roles"
 MAX_REJECT_RATIO = 0.2
 MAX_DROP_RATIO = 0.8
 DROP_CHECK_MIN_POSTINGS = 10
+
+# What the standard checks take for plausible, lowest and highest; callers may pass others.
+CHECK_BOUNDS = {
+    "unparsed_snapshots": (0, 1000),
+    "spell_number": (1, 1000),
+    "days_to_close": (1, 3650),
+    "opened": (0, 1_000_000),
+    "closed": (0, 1_000_000),
+}

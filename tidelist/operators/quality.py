@@ -231,7 +231,8 @@ class Tables:
     vocabulary: DataFrame
 
 
-def _row_checks() -> dict[str, dict[str, Column]]:
+def _row_checks(bounds: dict[str, tuple[int, int]]) -> dict[str, dict[str, Column]]:
+    between = lambda c: outside(c, *bounds[c])
     share = lambda c: outside(c, 0, 1)
     return {
         "lines": {
@@ -270,10 +271,10 @@ def _row_checks() -> dict[str, dict[str, Column]]:
             "last_seen_not_before_first_seen": before("last_seen", "first_seen"),
             "closed_at_after_last_seen": before("closed_at", "last_seen", strict=True),
             "unparsed_snapshots_not_null": is_null("unparsed_snapshots"),
-            "unparsed_snapshots_between": outside("unparsed_snapshots", 0, 1000),
+            "unparsed_snapshots_between": between("unparsed_snapshots"),
             "spell_number_not_null": is_null("spell_number"),
-            "spell_number_between": outside("spell_number", 1, 1000),
-            "days_to_close_between": outside("days_to_close", 1, 3650),
+            "spell_number_between": between("spell_number"),
+            "days_to_close_between": between("days_to_close"),
             "workplace_type_accepted": not_accepted("workplace_type", fixed.WORKPLACE_TYPES),
             "seniority_accepted": not_accepted("seniority", fixed.SENIORITIES),
         },
@@ -288,8 +289,8 @@ def _row_checks() -> dict[str, dict[str, Column]]:
         "dim_role_family": {"role_family_not_null": is_null("role_family")},
         "weekly_flow": {
             "week_start_not_null": is_null("week_start"),
-            "opened_between": outside("opened", 0, 1_000_000),
-            "closed_between": outside("closed", 0, 1_000_000),
+            "opened_between": between("opened"),
+            "closed_between": between("closed"),
         },
         "time_to_close": {"role_family_not_null": is_null("role_family")},
         "skill_demand": {
@@ -339,10 +340,13 @@ def _count(df: DataFrame, name: str) -> DataFrame:
     )
 
 
-def standard_suite(t: Tables) -> DataFrame:
-    """(check_name, failing_rows, passed) for all standard checks, as one lazy frame."""
+def standard_suite(t: Tables, bounds: dict[str, tuple[int, int]] | None = None) -> DataFrame:
+    """(check_name, failing_rows, passed) for all standard checks, as one lazy frame.
+
+    ``bounds`` replaces entries of ``fixed_values.CHECK_BOUNDS``, for data of another size.
+    """
     parts = []
-    for table, conditions in _row_checks().items():
+    for table, conditions in _row_checks({**fixed.CHECK_BOUNDS, **(bounds or {})}).items():
         named = {f"{table}_{name}": condition for name, condition in conditions.items()}
         parts.append(count_failing(getattr(t, table), named))
     for table, keys in UNIQUE_KEYS.items():

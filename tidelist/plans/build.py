@@ -255,8 +255,13 @@ def register_views(lake: Lake) -> list[str]:
     return [*MARTS, "extract_manifests"]
 
 
-def check(lake: Lake, rules: Rules | None = None) -> DataFrame:
-    """(check_name, failing_rows, passed) for the standard quality checks on a built lake."""
+def check(
+    lake: Lake, rules: Rules | None = None, bounds: dict[str, tuple[int, int]] | None = None
+) -> DataFrame:
+    """(check_name, failing_rows, passed) for the standard quality checks on a built lake.
+
+    ``bounds`` replaces entries of ``fixed_values.CHECK_BOUNDS``.
+    """
     require_built(lake)
     rules = rules or Rules()
     lines = lake.lines()
@@ -284,5 +289,6 @@ def check(lake: Lake, rules: Rules | None = None) -> DataFrame:
             remote_share=t["mart_remote_share"],
             entry_level_share=t["mart_entry_level_share"],
             vocabulary=rules.frame(lake.spark, "skill_vocabulary"),
-        )
+        ),
+        bounds,
     )
