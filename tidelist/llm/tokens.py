@@ -9,6 +9,7 @@ asks the library for all new ones at once; numpy then lays the ids of all words
 from __future__ import annotations
 
 from collections.abc import Iterator
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,14 @@ LONGEST_KEPT = 48  # bytes; longer words are encoded each time
 AT_ONCE = 400  # words joined into one string for the library
 
 
+def is_letters(word: bytes) -> bool:
+    """Whether the word is letters alone, and still is when it is normalised and lower-cased."""
+    if word.isascii():
+        return word.isalpha()
+    text = word.decode("utf-8", "replace")
+    return text.isalpha() and normalize("NFC", text).lower().isalpha()
+
+
 class WordEncoder:
     """Ids of texts as little-endian integers of ``dtype``."""
 
@@ -80,16 +89,16 @@ class WordEncoder:
                 found[word] = ids
             elif len(word) > LONGEST_KEPT or self.separator is None or b"|" in word:
                 found[word] = self._alone(word)
-            elif word.isalpha():
+            elif not is_letters(word):
+                mixed.add(word)
+            elif word.isascii():
                 ascii_words.add(word)
-            elif word.decode("utf-8", "replace").isalpha():
-                letters.add(word)
             else:
-                mixed.add(word)
+                letters.add(word)
 
         for word in new:
             head = word.rstrip(MARKS)
-            if head and len(head) < len(word) and head.decode("utf-8", "replace").isalpha():
+            if len(head) < len(word) and is_letters(head):
                 tail = word[len(head) :]
                 marked.append((word, head, tail))
                 for part in (head, tail):
