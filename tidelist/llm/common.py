@@ -62,6 +62,14 @@ def spread(rows: DataFrame, *columns: str) -> DataFrame:
     return rows.repartition(tasks, *columns)
 
 
+def fresh(name: str, columns: list[str]) -> str:
+    """The name, with underscores before it as long as a column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def file_system(uri: str):
     """(file system, path) of a URI, for tasks that write or read files themselves."""
     from pyarrow.fs import FileSystem

@@ -65,16 +65,18 @@ def train(
     return fit(samples, order)
 
 
-def predicted(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` with lang_pred and score of every row.
+def predicted(
+    docs: DataFrame, model: Model | None, lang: str = "lang_pred", score: str = "score"
+) -> DataFrame:
+    """``docs`` with two more columns, the language and the score of every row.
 
-    ``lang_pred`` is ``und`` with score 0 where the text is null or holds no letter, and
-    everywhere if there is no model. ``score`` is the posterior of the language, each language as
+    The language is ``und`` with score 0 where the text is null or holds no letter, and
+    everywhere if there is no model. The score is the posterior of the language, each language as
     likely beforehand. Only the text decides: equal texts get equal results. Among languages of
     equal code length the first in order of name is taken.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = docs.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
+    schema = docs.withColumns({lang: F.lit(""), score: F.lit(0.0)}).schema
     at = docs.columns.index("text")
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,16 +86,16 @@ def predicted(docs: DataFrame, model: Model | None) -> DataFrame:
             letters = pc.match_substring_regex(column, r"\pL").fill_null(False)
             spoken = np.flatnonzero(letters.to_numpy(zero_copy_only=False)) if by else []
             names = [UNKNOWN] * batch.num_rows
-            score = np.zeros(batch.num_rows)
+            likely = np.zeros(batch.num_rows)
             if len(spoken):
                 bits = by.bits(byte_texts(column.take(pa.array(spoken))))
                 best = bits.argmin(axis=1)
                 more = bits - bits.min(axis=1, keepdims=True)
-                score[spoken] = 1 / np.exp2(-more).sum(axis=1)
+                likely[spoken] = 1 / np.exp2(-more).sum(axis=1)
                 for i, b in zip(spoken.tolist(), best.tolist()):
                     names[i] = by.classes[b]
-            columns = [*batch.columns, pa.array(names), pa.array(score)]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "lang_pred", "score"])
+            columns = [*batch.columns, pa.array(names), pa.array(likely)]
+            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, lang, score])
 
     return docs.mapInArrow(predict, schema)
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelist.llm import words
-from tidelist.llm.common import byte_texts, mix64, written
+from tidelist.llm.common import byte_texts, fresh, mix64, written
 
 LENGTH = 50
 SEED = 25
@@ -200,8 +200,8 @@ class Repeats:
             F.when(copy, nothing).otherwise(F.coalesce("part_sha256", "words_sha256")).alias("kept_sha256"),
         )
 
-    def removed_from(self, docs: DataFrame) -> DataFrame:
-        """``docs`` with the repeats cut out of ``text``, and the column n_removed.
+    def removed_from(self, docs: DataFrame, counted: str = "n_removed") -> DataFrame:
+        """``docs`` with the repeats cut out of ``text``, and a column of the words removed.
 
         What is kept stays byte for byte; the white space behind a removed passage goes with it.
         A text without repeats is unchanged, and of a copy nothing is left.
@@ -209,9 +209,11 @@ class Repeats:
         length = self.length
         copies = self.whole.where(self._is_copy()).select("doc_id").distinct()
         marked = copies.withColumn("starts", F.lit(None).cast("array<int>")).unionByName(self.starts)
-        joined = docs.join(marked.withColumnsRenamed({"doc_id": "_doc", "starts": "_starts"}), F.col("doc_id") == F.col("_doc"), "left")
-        schema = docs.withColumn("n_removed", F.lit(0).cast("long")).schema
         names, at = docs.columns, docs.columns.index("text")
+        doc, starts = fresh("doc", names), fresh("starts", names)
+        marked = marked.withColumnsRenamed({"doc_id": doc, "starts": starts})
+        joined = docs.join(marked, docs["doc_id"] == marked[doc], "left")
+        schema = docs.withColumn(counted, F.lit(0).cast("long")).schema
 
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -227,9 +229,9 @@ class Repeats:
                     texts[i], removed[i] = _without(texts[i], spans, gone), int(gone.sum())
                 columns = batch.columns[: len(names)]
                 columns[at] = pa.array([None if t is None else t.decode("utf-8", "replace") for t in texts], pa.string())
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(removed, pa.int64())], [*names, "n_removed"])
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(removed, pa.int64())], [*names, counted])
 
-        return joined.select(*(docs[c] for c in names), "_doc", "_starts").mapInArrow(cut, schema)
+        return joined.select(*(docs[c] for c in names), doc, starts).mapInArrow(cut, schema)
 
 
 def _without(text: bytes | None, spans: list[tuple[int, int]], gone: np.ndarray) -> bytes | None:
@@ -244,12 +246,12 @@ def _without(text: bytes | None, spans: list[tuple[int, int]], gone: np.ndarray)
     return b"".join(kept)
 
 
-def deduplicated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def deduplicated(docs: DataFrame, length: int = LENGTH, counted: str = "n_removed") -> DataFrame:
     """``docs`` without the words of windows of ``length`` words that a smaller doc_id has too.
 
-    Windows are judged on the input, not on what is left. Every row stays; ``n_removed`` is
-    added. Texts that are null or shorter than ``length`` words are unchanged, and so are rows
+    Windows are judged on the input, not on what is left. Every row stays; the number
+    of words removed is added as ``counted``. Texts that are null or shorter than ``length`` words are unchanged, and so are rows
     with a null doc_id, which take no part. Repeated rows get equal results (an id that several
     rows share must have one text). Other columns pass through.
     """
-    return Repeats(docs, length).removed_from(docs)
+    return Repeats(docs, length).removed_from(docs, counted)
