@@ -270,7 +270,8 @@ def lake(spark: SparkSession, sf_dir: str) -> Lake:
         boards = derived_boards(spark, sf_dir)
         early = F.col("snapshot_date") <= F.lit(FIRST_LOAD_UNTIL)
         for part in (responses.where(early), responses.where(~early)):
-            land(made, part, boards, POLICY)
+            days = sorted(r[0] for r in part.select("snapshot_date").distinct().collect())
+            land(made, part, boards, POLICY, dates=days)
             build(made, RULES)
         _LAKES[key] = made
     return _LAKES[key]

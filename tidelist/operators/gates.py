@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelist import fixed_values as fixed
@@ -173,11 +173,12 @@ def drop_guard(gated: DataFrame, landed: DataFrame, policy: Policy) -> DataFrame
         "max_drop_ratio",
     )
     start = F.expr(
-        "named_struct('baseline', cast(null as bigint), 'baseline_day', cast(null as date), "
-        "'verdicts', cast(array() as array<struct<snapshot_date: date, baseline: bigint, "
-        "baseline_day: date, is_drop: boolean>>))"
+        "named_struct('baseline', cast(null as bigint), 'refused', cast(array() as array<date>))"
     )
 
+    def accepted(d, is_drop: Column) -> Column:
+        return F.when(d["passes"] & ~is_drop, d["observed"]).otherwise(d["known"])
+
     def step(state: Column, d: Column) -> Column:
         is_drop = F.coalesce(
             d["passes"]
@@ -185,28 +186,35 @@ def drop_guard(gated: DataFrame, landed: DataFrame, policy: Policy) -> DataFrame
             & (d["observed"] < state["baseline"] * (1 - d["max_drop_ratio"])),
             F.lit(False),
         )
-        accepted = F.when(d["passes"] & ~is_drop, d["observed"]).otherwise(d["known"])
         return F.struct(
-            F.coalesce(accepted, state["baseline"]).alias("baseline"),
-            F.when(accepted.isNotNull(), d["snapshot_date"])
-            .otherwise(state["baseline_day"])
-            .alias("baseline_day"),
-            F.array_append(
-                state["verdicts"],
-                F.struct(
-                    d["snapshot_date"].alias("snapshot_date"),
-                    state["baseline"].alias("baseline"),
-                    state["baseline_day"].alias("baseline_day"),
-                    is_drop.alias("is_drop"),
-                ),
-            ).alias("verdicts"),
+            F.coalesce(accepted(d, is_drop), state["baseline"]).alias("baseline"),
+            F.when(is_drop, F.array_append(state["refused"], d["snapshot_date"]))
+            .otherwise(state["refused"])
+            .alias("refused"),
         )
 
+    # The fold only keeps the refused days; what each day was judged by is looked up afterwards.
+    folded = timeline.groupBy("company_key").agg(F.array_sort(F.collect_list(day)).alias("days"))
+    unfolded = folded.withColumn("refused", F.aggregate("days", start, step)["refused"]).select(
+        "company_key", "refused", F.inline("days")
+    )
+    is_drop = F.array_contains("refused", F.col("snapshot_date"))
+    counted = accepted({c: F.col(c) for c in ("passes", "observed", "known")}, is_drop)
+    before = (
+        Window.partitionBy("company_key")
+        .orderBy("snapshot_date")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    counted_day = F.when(F.col("counted").isNotNull(), F.col("snapshot_date"))
     verdicts = (
-        timeline.groupBy("company_key")
-        .agg(F.array_sort(F.collect_list(day)).alias("days"))
-        .select("company_key", F.explode(F.aggregate("days", start, step)["verdicts"]).alias("v"))
-        .select("company_key", "v.*")
+        unfolded.withColumns({"is_drop": is_drop, "counted": counted})
+        .withColumns(
+            {
+                "baseline": F.last("counted", ignorenulls=True).over(before),
+                "baseline_day": F.last(counted_day, ignorenulls=True).over(before),
+            }
+        )
+        .select(*BOARD_DAY, "baseline", "baseline_day", "is_drop")
     )
     judged = gated.join(verdicts, BOARD_DAY)
     error = F.concat(

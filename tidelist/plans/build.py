@@ -84,9 +84,13 @@ def observations_of(lines: DataFrame, rules: Rules) -> DataFrame:
     return classify(one_per_snapshot(tagged), rules.role_family_rules)
 
 
+INPUTS = "landings string, rules string"
+
+
 def build(lake: Lake, rules: Rules | None = None, full_refresh: bool = False) -> int:
     """Bring facts and marts up to date with what has landed; returns the build number.
 
+    If nothing has landed and no rule has changed since the last build, that build is returned.
     Only landings that are not loaded yet are read. Boards with new days at the end continue the
     spells they have; boards whose earlier days changed are recomputed from their full history,
     so the result does not depend on the order in which days arrived. A full refresh starts an
@@ -96,6 +100,9 @@ def build(lake: Lake, rules: Rules | None = None, full_refresh: bool = False) ->
     rules = rules or Rules()
     lake.reopen()
     number, generation = lake.last_commit("build")
+    inputs = [(lake.landed_state(), rules_state(rules))]
+    if generation and not full_refresh and inputs == _inputs_of(lake, number, generation):
+        return number
     number += 1
     if full_refresh or generation == 0:
         generation += 1
@@ -144,10 +151,22 @@ def build(lake: Lake, rules: Rules | None = None, full_refresh: bool = False) ->
         ]
         for job in jobs:
             job.result()
+    write(lake.spark.createDataFrame(inputs, INPUTS).coalesce(1), "inputs")
     lake.commit("build", number, generation)
     return number
 
 
+def rules_state(rules: Rules) -> str:
+    """Changes with any rule table."""
+    return hashlib.sha256(repr(rules).encode()).hexdigest()
+
+
+def _inputs_of(lake: Lake, number: int, generation: int) -> list[tuple]:
+    """What a build was made from: committed landings and rules."""
+    rows = lake._read(f"warehouse/generation={generation}/inputs/build={number}", INPUTS)
+    return [tuple(r) for r in rows.collect()]
+
+
 def _spells(
     boards: DataFrame, daily: DataFrame, unparsed: DataFrame, ok: DataFrame, earlier: DataFrame
 ) -> DataFrame:

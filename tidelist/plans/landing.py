@@ -24,6 +24,7 @@ from tidelist.operators.manifests import (
 )
 from tidelist.session import configure
 from tidelist.sources.lake import Lake
+from tidelist.sources.responses import requested_board_days, with_missing_boards
 
 
 BOARD = ["source", "board"]
@@ -37,6 +38,10 @@ class UnknownBoard(ValueError):
     """A response is of a board that is not configured."""
 
 
+class RepeatedResponse(ValueError):
+    """A board has several responses on one day."""
+
+
 class UnknownLanding(ValueError):
     """There is no snapshot to withdraw."""
 
@@ -65,9 +70,13 @@ def land(
     fetch_mode: str = "fixture",
     extracted_at: Column | None = None,
     allow_mixed: bool = False,
+    dates: list[date] | None = None,
 ) -> DataFrame:
     """Land responses (source, board, snapshot_date, http_status, body); returns the outcomes.
 
+    There must be one response per board and day, of configured boards. With ``dates``, every
+    board is accounted for on each of them: one without a response is recorded as not found.
+
     Bodies are parsed once and every item is written once, judged or not. Whether a board's day
     counts is decided afterwards from counts read back from the written items, and recorded last:
     items without a committed attempt are invisible.
@@ -82,6 +91,11 @@ def land(
     named = sorted(":".join(r) for r in strangers.limit(10).collect())
     if named:
         raise UnknownBoard(f"not configured: {', '.join(named)}")
+    repeated = responses.groupBy(*BOARD, "snapshot_date").count().where(F.col("count") > 1)
+    if twice := repeated.first():
+        raise RepeatedResponse(f"{twice['count']} responses of {twice.source}:{twice.board} on a day")
+    if dates:
+        responses = with_missing_boards(responses, requested_board_days(boards.select(*BOARD), dates))
     load = lake.claim_load()
     lake.write_items(load, parse_responses(responses))
     judged = judge(lake.items_of_load(load), boards, lake.manifests(), policy)

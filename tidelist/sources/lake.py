@@ -117,6 +117,11 @@ class Lake:
                     raise
                 number += 1
 
+    def landed_state(self) -> str:
+        """Changes with every committed landing."""
+        self.last_commit("landing")
+        return f"{len(self._loads)} up to {max(self._loads, default=0)}"
+
     def _landed(self, rows: DataFrame) -> DataFrame:
         """Rows of committed loads."""
         self.last_commit("landing")

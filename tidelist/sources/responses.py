@@ -75,10 +75,13 @@ def requested_board_days(boards: DataFrame, dates: list[date]) -> DataFrame:
 
 
 def with_missing_boards(responses: DataFrame, expected: DataFrame) -> DataFrame:
-    """Add a 404 for every expected board and day without a response; drop unknown boards."""
+    """Add a 404 for every expected board and day without a response; bodies are not shuffled."""
     keys = ["source", "board", "snapshot_date"]
-    return expected.join(responses, keys, "left").select(
-        *expected.columns,
-        F.coalesce("http_status", F.lit(404)).alias("http_status"),
-        "body",
+    missing = expected.select(*keys).join(responses.select(*keys), keys, "left_anti")
+    return responses.unionByName(
+        missing.select(
+            *keys, F.lit(404).alias("http_status"), F.lit(None).cast("string").alias("body")
+        ),
+        allowMissingColumns=True,
     )
+
