@@ -187,7 +187,7 @@ def test_edits_emptied_and_withdrawn_days_equal_a_full_refresh(evolving, spark):
         (F.col("company_key") == "greenhouse:acme") & (F.col("snapshot_date") == B.DAYS[3])
     ).first()
     assert manifest.status == "contract_failed" and manifest.content_hash is None
-    assert "ok, 5 postings" in manifest.error and "partial list" in manifest.error
+    assert "5 items, ok" in manifest.error and "partial list" in manifest.error
     converge()
     assert spell_rows(evolving, "greenhouse:acme:2") == [(1, 2, None)]
     assert spell_rows(evolving, "greenhouse:acme:99") == []
