@@ -8,15 +8,15 @@ chance. What may reach the threshold is confirmed on the full sets.
 Documents with equal sets are one class from the start. In a bucket, every class is first compared
 with the bucket's smallest one, which joins large groups of near copies with as many pairs as
 members. Only where a bucket still holds several components, its members are compared with each
-other, in blocks of bounded size that yield no pair below the estimate. No link between different
-sets is lost beyond the chance of the bands, (1 - s^ROWS)^BANDS = 5e-8 at s = 0.8, and of the
-margin of the estimate.
+other, in blocks of bounded size, by longer signatures of single bits, which tell what may be
+linked much more sharply. No link between different sets is lost beyond the chance of the bands,
+(1 - s^ROWS)^BANDS = 5e-8 at s = 0.8, and of the margins of the estimates.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,11 +34,13 @@ PERMUTATIONS = BANDS * ROWS
 BITS = 4
 LONGS = PERMUTATIONS * BITS // 64
 MARGIN = 0.16  # over four standard errors of the estimate at 0.8
+FINE = 1024  # minima of which one bit is kept, where members of a bucket are compared
+FINE_MARGIN = 0.085  # likewise
 BLOCK = 1000  # members of a bucket that are compared at once
-_CHANCE = 2.0**-BITS
 _NIBBLES = 0x1111111111111111
 
 
+@lru_cache
 def _constants(n: int, seed: int) -> np.ndarray:
     return np.random.default_rng(seed).integers(1, 1 << 63, n, np.uint64)
 
@@ -64,21 +66,23 @@ def shingle_sets(texts, size: int) -> list[np.ndarray]:
     return sets
 
 
-def minima(shingles: np.ndarray) -> np.ndarray:
-    """PERMUTATIONS minima of a set that is not empty."""
-    a = (_constants(PERMUTATIONS, 7) | np.uint64(1)).astype(np.uint32)[:, None] | np.uint32(1)
-    b = (_constants(PERMUTATIONS, 8) >> np.uint64(20)).astype(np.uint32)[:, None]
+def minima(shingles: np.ndarray, permutations: int = PERMUTATIONS) -> np.ndarray:
+    """That many minima of a set that is not empty."""
+    a = _constants(permutations, 7).astype(np.uint32)[:, None] | np.uint32(1)
+    b = (_constants(permutations, 8) >> np.uint64(20)).astype(np.uint32)[:, None]
     low = shingles.astype(np.uint32)
-    found = np.full(PERMUTATIONS, 0xFFFFFFFF, np.uint32)
-    for i in range(0, len(low), 2048):
-        np.minimum(found, (a * low[None, i : i + 2048] + b).min(axis=1), out=found)
+    found = np.full(permutations, 0xFFFFFFFF, np.uint32)
+    step = 262_144 // permutations
+    for i in range(0, len(low), step):
+        np.minimum(found, (a * low[None, i : i + step] + b).min(axis=1), out=found)
     return found
 
 
-def packed(signature: np.ndarray) -> np.ndarray:
-    """The low BITS bits of each minimum, in longs."""
-    low = (signature & np.uint32((1 << BITS) - 1)).astype(np.uint64).reshape(LONGS, -1)
-    shift = np.arange(low.shape[1], dtype=np.uint64) * np.uint64(BITS)
+def packed(signature: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """The low bits of each minimum, in longs; not the lowest, which is that of few products."""
+    low = (signature >> np.uint32(8) & np.uint32((1 << bits) - 1)).astype(np.uint64)
+    low = low.reshape(len(low) * bits // 64, -1)
+    shift = np.arange(low.shape[1], dtype=np.uint64) * np.uint64(bits)
     return np.bitwise_or.reduce(low << shift, axis=1).view(np.int64)
 
 
@@ -123,9 +127,10 @@ def _differing(left: str, right: str) -> Column:
     return reduce(lambda a, b: a + b, counts)
 
 
-def estimate(differing, permutations: int = PERMUTATIONS):
+def estimate(differing, permutations: int = PERMUTATIONS, bits: int = BITS):
     """The similarity, given the places that differ: chance agreement is taken off."""
-    return ((1 - differing / permutations) - _CHANCE) / (1 - _CHANCE)
+    chance = 2.0**-bits
+    return ((1 - differing / permutations) - chance) / (1 - chance)
 
 
 def _may_link(threshold: int) -> Column:
@@ -137,17 +142,35 @@ def _side(classes: DataFrame, side: str) -> DataFrame:
     return classes.select(*(F.col(c).alias(f"{c}_{side}" if c != "rep" else side) for c in ("rep", "n", "bits")))
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, threshold: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are as similar as asked."""
-    needed = pairs.select("a").union(pairs.select("b")).distinct()
-    texts = docs.select("doc_id", "text").join(needed, F.col("doc_id") == F.col("a"), "left_semi")
+def _sets(docs: DataFrame, needed: DataFrame, size: int) -> DataFrame:
+    """(id, n, hashes, fine): the full sets and the fine signatures of the documents ``needed``.
+
+    The join is a merge join at every size: the number of documents needed has no bound.
+    """
+    texts = docs.select("doc_id", "text").join(
+        needed.hint("merge"), F.col("doc_id") == F.col("id"), "left_semi"
+    )
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [s.tobytes() for s in shingle_sets(batch.column(1), size)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["id", "hashes"])
+            sets = shingle_sets(batch.column(1), size)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([s.tobytes() for s in sets], pa.binary()),
+                    pa.array([packed(minima(s, FINE), 1) for s in sets], pa.list_(pa.int64())),
+                ],
+                ["id", "n", "hashes", "fine"],
+            )
+
+    schema = "id long, n long, hashes binary, fine array<long>"
+    # An id that several rows share has one text.
+    return written(texts.mapInArrow(listed, schema).dropDuplicates(["id"]), "sets")
 
-    sets = written(texts.mapInArrow(listed, "id long, hashes binary"), "sets")
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """The pairs (a, b) whose full sets are as similar as asked."""
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -166,31 +189,34 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, threshold: int) ->
     return whole.mapInArrow(confirm, "a long, b long")
 
 
-def _within_buckets(members: DataFrame, threshold: int) -> DataFrame:
-    """Pairs (a, b) of different components in a bucket that may be linked.
-
-    Members of a bucket are dealt by hash to blocks of about BLOCK rows, and every two blocks are
-    compared, so the work of a task is bounded and large buckets spread.
-    """
+def _open(members: DataFrame) -> DataFrame:
+    """Members (band, key, rep, component) of buckets with several components, and ``blocks``."""
     counted = members.groupBy("band", "key").agg(
         F.count("*").alias("m"), F.min("component").alias("low"), F.max("component").alias("high")
     )
     several = counted.where(F.col("low") < F.col("high")).select(
         "band", "key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")
     )
-    own = F.pmod(F.hash("rep"), F.col("blocks"))
+    return members.join(several, ["band", "key"])
+
+
+def _within_buckets(members: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (a, b) of different components in a bucket that may be linked.
+
+    From (band, key, blocks, rep, component, n, fine, bands). Members of a bucket are dealt by
+    hash to blocks of about BLOCK rows, and every two blocks are compared, so the work of a task
+    is bounded and large buckets spread. A pair comes from the first of the buckets it shares.
+    """
     dealt = (
-        members.join(several, ["band", "key"])
-        .withColumn("own", own)
+        members.withColumn("own", F.pmod(F.hash("rep"), F.col("blocks")))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
             "band", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-            (F.col("own") <= F.col("other")).alias("left"), "rep", "component", "n", "bits",
+            (F.col("own") <= F.col("other")).alias("left"), "rep", "component", "n", "fine", "bands",
         )
     )
     keys = ["band", "key", "i", "j"]
     ordered = dealt.repartition(*keys).sortWithinPartitions(*keys)
-    least = threshold / 100 - MARGIN
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
@@ -199,12 +225,12 @@ def _within_buckets(members: DataFrame, threshold: int) -> DataFrame:
             rest = part if rest is None else pa.concat_tables([rest, part])
             cut = _last_group(rest, keys)
             if cut:
-                yield from _compared(rest.slice(0, cut).combine_chunks(), keys, threshold, least)
+                yield _compared(rest.slice(0, cut).combine_chunks(), keys, threshold)
                 rest = rest.slice(cut)
         if rest is not None and rest.num_rows:
-            yield from _compared(rest.combine_chunks(), keys, threshold, least)
+            yield _compared(rest.combine_chunks(), keys, threshold)
 
-    return ordered.mapInArrow(compare, "a long, b long").distinct()
+    return ordered.mapInArrow(compare, "a long, b long")
 
 
 def _codes(table: pa.Table, keys: list[str]) -> np.ndarray:
@@ -217,13 +243,16 @@ def _last_group(table: pa.Table, keys: list[str]) -> int:
     return int(np.flatnonzero((codes != codes[-1]).any(axis=1)).max(initial=-1)) + 1
 
 
-def _compared(table: pa.Table, keys: list[str], threshold: int, least: float) -> Iterator[pa.RecordBatch]:
+def _compared(table: pa.Table, keys: list[str], threshold: int) -> pa.RecordBatch:
     codes = _codes(table, keys)
     edge = np.flatnonzero((codes[1:] != codes[:-1]).any(axis=1)) + 1
     bounds = [0, *edge.tolist(), len(codes)]
-    rep, component, n, left = (table[c].to_numpy() for c in ("rep", "component", "n", "left"))
-    bits = table["bits"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, LONGS)
-    found_a, found_b = [], []
+    rep, component, n = (table[c].to_numpy() for c in ("rep", "component", "n"))
+    left = table["left"].to_numpy().astype(bool)
+    bits = table["fine"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(rep), -1)
+    bands = table["bands"].combine_chunks().flatten().to_numpy().reshape(len(rep), -1)
+    least = threshold / 100 - FINE_MARGIN
+    one, two = [], []
     for a, b in zip(bounds, bounds[1:]):
         same = codes[a, 2] == codes[a, 3]
         rows = np.arange(a, b)
@@ -234,14 +263,12 @@ def _compared(table: pa.Table, keys: list[str], threshold: int, least: float) ->
             some = some[size & (component[some] != component[x])]
             if not len(some):
                 continue
-            differ = bits[some] ^ bits[x]
-            for shift in (1, 2):
-                differ = differ | differ >> np.uint64(shift)
-            count = np.bitwise_count(differ & np.uint64(_NIBBLES)).sum(axis=1, dtype=np.int64)
-            near = some[estimate(count) >= least]
-            found_a += np.minimum(rep[near], rep[x]).tolist()
-            found_b += np.maximum(rep[near], rep[x]).tolist()
-    yield pa.RecordBatch.from_pydict({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})
+            differ = np.bitwise_count(bits[some] ^ bits[x]).sum(axis=1, dtype=np.int64)
+            near = some[estimate(differ, FINE, 1) >= least]
+            near = near[(bands[near] == bands[x]).argmax(axis=1) == codes[a, 0]]
+            one += np.minimum(rep[near], rep[x]).tolist()
+            two += np.maximum(rep[near], rep[x]).tolist()
+    return pa.RecordBatch.from_pydict({"a": pa.array(one, pa.int64()), "b": pa.array(two, pa.int64())})
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
@@ -281,18 +308,21 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, threshold: int = THRES
             .select("a", "b")
         )
 
-    stars = written(_confirmed(written(likely(proposed), "pairs"), docs, size, threshold), "links")
+    sets = _sets(docs, shared.select(F.col("rep").alias("id")).distinct(), size)
+    stars = written(_confirmed(written(likely(proposed), "pairs"), sets, threshold), "links")
     reached = components(stars)
 
     members = (
         shared.select("band", "key", "rep")
         .join(reached.withColumnRenamed("node", "rep"), "rep", "left")
         .withColumn("component", F.coalesce("component", "rep"))
-        .join(classes.select("rep", "n", "bits"), "rep")
     )
-    left = written(_within_buckets(members, threshold), "pairs")
-    if not left.isEmpty():
-        more = _confirmed(left, docs, size, threshold)
+    open_ = written(_open(members), "open")
+    if not open_.isEmpty():
+        signed_sets = sets.select(F.col("id").alias("rep"), "n", "fine")
+        compared = open_.join(signed_sets, "rep").join(classes.select("rep", "bands"), "rep")
+        left = written(_within_buckets(compared, threshold), "pairs")
+        more = _confirmed(left, sets, threshold)
         reached = components(stars.unionByName(more))
 
     of_set = (
