@@ -17,6 +17,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tidelist.llm.common import lean
+
 
 
 def byte_characters() -> list[str]:
@@ -148,6 +150,7 @@ def encoded(
     kind = docs.schema[key].dataType.simpleString()
     lists = pa.list_(pa.int32())
 
+    @lean
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from tokenizers import Tokenizer
 
@@ -179,6 +182,7 @@ def decoded(rows: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(read_ranks(path))
     kind = rows.schema[key].dataType.simpleString()
 
+    @lean
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _once(hash(("bytes", path)), lambda: ByteTable(shared.value))
         for batch in batches:

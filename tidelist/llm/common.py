@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from pathlib import Path
 from tempfile import mkdtemp
 from uuid import uuid4
@@ -77,6 +78,23 @@ def file_system(uri: str):
     return FileSystem.from_uri(uri)
 
 
+def lean(task: Callable) -> Callable:
+    """A task over Arrow batches that hands free memory back to the system when it ends.
+
+    Python workers are used again for later tasks, and what they keep counts against their
+    executor meanwhile.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from task(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library
+        if trim:
+            trim(0)
+
+    return run
+
+
 def byte_texts(column) -> list[bytes | None]:
     """A string column of an Arrow batch as UTF-8 bytes."""
     return column.cast(pa.binary() if pa.types.is_string(column.type) else pa.large_binary()).to_pylist()

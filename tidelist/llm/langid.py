@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelist.llm.common import byte_texts, written
+from tidelist.llm.common import byte_texts, lean, written
 from tidelist.llm.markov import Model, fit
 
 UNKNOWN = "und"
@@ -79,6 +79,7 @@ def predicted(
     schema = docs.withColumns({lang: F.lit(""), score: F.lit(0.0)}).schema
     at = docs.columns.index("text")
 
+    @lean
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by = shared.value
         for batch in batches:

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelist.llm import words
-from tidelist.llm.common import mix64, written
+from tidelist.llm.common import lean, mix64, written
 from tidelist.llm.components import components
 
 SHINGLE = 5
@@ -95,6 +95,7 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
     """(doc_id, n, set_key, bits, bands): empty sets have no key, bits or bands."""
     from xxhash import xxh3_128_digest
 
+    @lean
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         longs = pa.list_(pa.int64())
         for batch in batches:
@@ -151,6 +152,7 @@ def _sets(docs: DataFrame, needed: DataFrame, size: int) -> DataFrame:
         needed.hint("merge"), F.col("doc_id") == F.col("id"), "left_semi"
     )
 
+    @lean
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = shingle_sets(batch.column(1), size)
@@ -172,6 +174,7 @@ def _sets(docs: DataFrame, needed: DataFrame, size: int) -> DataFrame:
 def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """The pairs (a, b) whose full sets are as similar as asked."""
 
+    @lean
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = []
@@ -218,6 +221,7 @@ def _within_buckets(members: DataFrame, threshold: int) -> DataFrame:
     keys = ["band", "key", "i", "j"]
     ordered = dealt.repartition(*keys).sortWithinPartitions(*keys)
 
+    @lean
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         for batch in batches:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelist.llm.common import written
+from tidelist.llm.common import lean, written
 from tidelist.llm.tokens import id_type, token_table
 
 WINDOW = 2048
@@ -136,6 +136,7 @@ def _powers(pieces: list, total: int, sequence: int) -> list:
 def document_frequencies(tokens: DataFrame, dtype: str) -> DataFrame:
     """(id, n): in how many documents each id occurs."""
 
+    @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelist.llm import words
-from tidelist.llm.common import byte_texts, fresh, mix64, written
+from tidelist.llm.common import byte_texts, fresh, lean, mix64, written
 
 LENGTH = 50
 SEED = 25
@@ -73,6 +73,7 @@ def covered(n: int, starts: np.ndarray, length: int) -> np.ndarray:
 def _profiles(docs: DataFrame, length: int) -> DataFrame:
     """(doc_id, n_words, words_sha256, anchors): distinct anchors of each document."""
 
+    @lean
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             coded, bounds = words.split(batch.column(1))
@@ -97,6 +98,7 @@ def _profiles(docs: DataFrame, length: int) -> DataFrame:
 def _windows(suspects: DataFrame, length: int) -> DataFrame:
     """(anchor, window, doc_id, start) of the windows whose anchor is in the row's ``anchors``."""
 
+    @lean
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             coded, bounds = words.split(batch.column(1))
@@ -175,6 +177,7 @@ class Repeats:
         """
         length = self.length
 
+        @lean
         def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 removed, digests = [], []
@@ -215,6 +218,7 @@ class Repeats:
         joined = docs.join(marked, docs["doc_id"] == marked[doc], "left")
         schema = docs.withColumn(counted, F.lit(0).cast("long")).schema
 
+        @lean
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 texts = byte_texts(batch.column(at))

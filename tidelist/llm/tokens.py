@@ -16,6 +16,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+from tidelist.llm.common import lean
+
 SEPARATOR = "|"  # words that hold it are encoded one by one
 MARKS = b".,;:!?"  # behind a word they are a piece of their own
 KEPT_WORDS = 500_000  # per generation; two generations are kept
@@ -176,6 +178,7 @@ def token_table(docs: DataFrame, path: str, end_id: int, key: str = "doc_id") ->
         shared = docs.sparkSession.sparkContext.broadcast(f.read())
     kind = docs.schema[key].dataType.simpleString()
 
+    @lean
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by = encoder(shared.value)
         for batch in batches:
