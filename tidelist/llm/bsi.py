@@ -11,18 +11,16 @@ vec_id. All scores are exact.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelist.llm.common import spread, written
-from tidelist.llm.vectors import best, block_of, in_blocks, number_of_blocks, unpacked, usable
+from tidelist.llm.common import written
+from tidelist.llm.vectors import best, block_of, number_of_blocks, usable
 
-SHARD_ROWS = 1 << 16
-QUERY_BLOCK = 64
+SHARD_ROWS = 1 << 14
+QUERY_BLOCK = 1 << 10
 SCALE = 256
 
 
@@ -133,36 +131,41 @@ def largest(rows: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     asked = taken.where(is_query)
     shards = number_of_blocks(taken.count(), SHARD_ROWS)
     blocks = number_of_blocks(asked.count(), QUERY_BLOCK)
-    index = written(in_blocks(taken.withColumn("shard", block_of(shards)), ["shard"], "<i8"), "shards")
-    # Every block of queries meets every shard: the stated queries against all rows.
-    met = (
-        in_blocks(asked.withColumn("asked", block_of(blocks)), ["asked"], "<i8")
-        .withColumnsRenamed({"ids": "query_ids", "values": "queries"})
-        .withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
-        .join(index, "shard")
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    # Every block of queries meets every shard: the stated queries against all rows, in tasks
+    # whose rows are bounded on both sides.
+    keys = ["shard", "block"]
+    index = taken.withColumn("shard", block_of(shards)).withColumn("block", every(blocks))
+    queries = asked.withColumn("block", block_of(blocks)).withColumn("shard", every(shards))
+
+    def search(own: pa.Table, queries: pa.Table) -> pa.Table:
+        query, found, score = ([np.zeros(0, np.int64)] for _ in range(3))
+        if own.num_rows and queries.num_rows:
+            ids, vectors = _matrix(own)
+            slices = Slices(vectors)
+            for query_id, vector in zip(*_matrix(queries)):
+                sums, offset = slices.scores(vector)
+                top = slices.top(sums, k, np.flatnonzero(ids == query_id))
+                total = np.full(len(top), offset, np.int64)
+                for weight, bits in enumerate(sums):
+                    set_ = bits[top >> 6] >> (top & 63).astype(np.uint64) & np.uint64(1)
+                    total += set_.astype(np.int64) << weight
+                query.append(np.full(len(top), query_id))
+                found.append(ids[top])
+                score.append(total)
+        columns = zip(("query_id", "vec_id", "score"), (query, found, score))
+        return pa.table({name: np.concatenate(x) for name, x in columns})
+
+    found = (
+        index.groupBy(*keys)
+        .cogroup(queries.groupBy(*keys))
+        .applyInArrow(search, "query_id long, vec_id long, score long")
     )
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, slices, ids, vectors = None, None, None, None
-        for batch in batches:
-            for row in batch.to_pylist():
-                if row["shard"] != known:
-                    known, (ids, vectors) = row["shard"], unpacked(row["ids"], row["values"], "<i8")
-                    slices = Slices(vectors)
-                query, found, score = [], [], []
-                for query_id, own in zip(*unpacked(row["query_ids"], row["queries"], "<i8")):
-                    sums, offset = slices.scores(own)
-                    top = slices.top(sums, k, np.flatnonzero(ids == query_id))
-                    total = np.full(len(top), offset, np.int64)
-                    for weight, bits in enumerate(sums):
-                        total += (bits[top >> 6] >> (top & 63).astype(np.uint64) & np.uint64(1)).astype(np.int64) << weight
-                    query.append(np.full(len(top), query_id))
-                    found.append(ids[top])
-                    score.append(total)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(x), pa.int64()) for x in (query, found, score)],
-                    ["query_id", "vec_id", "score"],
-                )
-
-    found = spread(written(met, "met")).mapInArrow(search, "query_id long, vec_id long, score long")
     return best(found, k, F.col("score").desc())
+
+
+def _matrix(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, vectors) in order of vec_id."""
+    rows = rows.sort_by("vec_id").combine_chunks()
+    flat = rows["vector"].combine_chunks().flatten().to_numpy()
+    return rows["vec_id"].to_numpy(), flat.reshape(rows.num_rows, -1)
