@@ -26,10 +26,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidelist.llm.common import file_system, spread, written
+from tidelist.llm.common import file_system, lean, spread, written
 from tidelist.llm.tokens import id_type, token_table
 
 MAGIC = b"TLIDS1\0\0"
+FILE_IDS = 8 << 20  # mean ids of a file
 BLOCK_IDS = 1 << 20  # a block ends at the first document that reaches as many ids
 LENGTHS = np.array([[(c >> shift & 3) + 1 for shift in (0, 2, 4, 6)] for c in range(256)], np.int64)
 _FOOTER = struct.Struct("<QQQ8s")  # documents, blocks, where the index begins
@@ -78,6 +79,7 @@ class IdFiles:
 def frequencies(tokens: DataFrame, dtype: str) -> DataFrame:
     """(id, n) over all documents."""
 
+    @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
@@ -91,6 +93,17 @@ def frequencies(tokens: DataFrame, dtype: str) -> DataFrame:
     return tokens.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
+def _ranges(tokens: DataFrame, total: int) -> tuple[int, np.ndarray]:
+    """How many files, and the last doc_id of each but the last: ranges of about as many documents.
+
+    Reads the ids of the documents alone, where a range exchange would code all of them twice.
+    """
+    files = max(1, -(-total // FILE_IDS))
+    shares = [k / files for k in range(1, files)]
+    bounds = tokens.stat.approxQuantile("doc_id", shares, 0.25 / files) if shares else []
+    return files, np.unique(np.array(bounds, np.int64))
+
+
 def write(docs: DataFrame, vocabulary: str, end_id: int, folder: str) -> IdFiles:
     """Encode all texts and write their ids in ascending order of doc_id.
 
@@ -106,25 +119,30 @@ def write(docs: DataFrame, vocabulary: str, end_id: int, folder: str) -> IdFiles
     by_rank = np.array([r["id"] for r in counted], np.int64)
     rank_of = np.zeros(int(by_rank.max()) + 1 if len(by_rank) else 1, np.uint32)
     rank_of[by_rank] = np.arange(len(by_rank))
+    files, bounds = _ranges(tokens, sum(r["n"] for r in counted))
     store, root = file_system(folder)
     store.create_dir(root, recursive=True)
-    with store.open_output_stream(f"{root}/ranks") as f:
+    with store.open_output_stream(f"{root}/ranks", compression=None) as f:
         f.write(by_rank.astype("<u4").tobytes())
     ranks = spark.sparkContext.broadcast(rank_of)
 
+    @lean
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pairs = [code(ranks.value[np.frombuffer(x, dtype)]) for x in batch.column(1).to_pylist()]
+            file = np.searchsorted(bounds, batch.column(0).fill_null(-1 << 63).to_numpy())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     batch.column(2),
                     pa.array([c for c, _ in pairs], pa.binary()),
                     pa.array([d for _, d in pairs], pa.binary()),
+                    pa.array(file.astype(np.int32)),
                 ],
-                ["doc_id", "n", "control", "data"],
+                ["doc_id", "n", "control", "data", "file"],
             )
 
+    @lean
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -136,13 +154,14 @@ def write(docs: DataFrame, vocabulary: str, end_id: int, folder: str) -> IdFiles
                 [{"path": path, "shard": shard, "docs": docs_in, "ids": ids_in}]
             )
 
-    files = (
-        tokens.mapInArrow(coded, "doc_id long, n long, control binary, data binary")
-        .repartitionByRange("doc_id")
+    saved = (
+        tokens.mapInArrow(coded, "doc_id long, n long, control binary, data binary, file int")
+        .repartitionById(files, F.col("file"))
+        .drop("file")
         .sortWithinPartitions("doc_id")
         .mapInArrow(save, "path string, shard long, docs long, ids long")
     )
-    return IdFiles(folder, dtype, written(files, "manifest"))
+    return IdFiles(folder, dtype, written(saved, "manifest"))
 
 
 def _write_file(path: str, batches: Iterator[pa.RecordBatch]) -> tuple[int, int]:
@@ -225,6 +244,7 @@ def read(spark: SparkSession, files: IdFiles) -> DataFrame:
     before = F.sum("ids").over(Window.orderBy("shard")) - F.col("ids")
     listed = files.manifest.withColumn("base", before).select("path", "base")
 
+    @lean
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = file_system(folder)
         with store.open_input_file(f"{root}/ranks") as f:
