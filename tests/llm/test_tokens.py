@@ -172,6 +172,31 @@ def bm25(docs, seed, idf, mean):
     return out
 
 
+def test_a_seed_is_searched_by_all_of_its_ids():
+    rng = np.random.default_rng(9)
+    vocabulary = np.minimum(rng.zipf(1.3, 20_000), 900)
+    docs = [np.append(rng.choice(vocabulary, rng.integers(0, 400)), 1).astype(np.uint16) for _ in range(60)]
+    # Shares with the seed one id only, of the least weight.
+    docs[7] = np.append(np.arange(901, 1001), 1).astype(np.uint16)
+    docs[8] = np.array([950, 1], np.uint16)
+    idf = rng.uniform(0.5, 3, 1001).astype(np.float32)
+    idf[950] = 0.1
+    index = packing.Shard(docs, idf, 200.0)
+    for seed in (7, 0, 20, 41):  # what is used leaves the index meanwhile
+        index.used[seed] = True
+        brute = np.zeros(len(docs))
+        for d, ids in enumerate(docs):
+            norm = packing.K1 * (1 - packing.B + packing.B * len(ids) / 200.0)
+            for t in set(docs[seed][:-1].tolist()):
+                f = int((ids[:-1] == t).sum())
+                brute[d] += idf[t] * f * (packing.K1 + 1) / (f + norm)
+        near = list(index.neighbours(seed))
+        assert set(near) == {d for d in range(60) if brute[d] > 0 and not index.used[d]}
+        assert all(brute[a] >= brute[b] - 1e-3 for a, b in zip(near, near[1:]))
+        assert seed != 7 or near == [8]
+        index.used[near[:15]] = True
+
+
 def test_empty_tables(spark):
     none = frame(spark, [])
     assert bpe.round_trip_digests(none, RANKS, PATTERN).count() == 0

@@ -24,7 +24,7 @@ from tidelist.llm.tokens import id_type, token_table
 
 WINDOW = 2048
 SHARD_IDS = 4 << 20  # mean ids of a shard: bounds the memory and the time of a task
-QUERY_TERMS = 24  # terms of a seed that are looked up, those with the largest weight
+COMMON = 1 / 8  # share of a shard's documents from which an id has a row instead of a list
 K1, B = 1.2, 0.75
 
 
@@ -36,49 +36,82 @@ def _terms(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Shard:
-    """The inverted index of some documents. ``idf`` by id, of all documents."""
+    """The inverted index of some documents. ``idf`` by id, of all documents.
+
+    A seed is searched by all of its distinct ids. Ids of many documents have their impacts in a
+    row over all documents, so that rows are added up; the others have lists. What is used leaves
+    the index as soon as it is an eighth of it.
+    """
 
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean_length: float):
         self.used = np.zeros(len(docs), bool)
         self.queries: list[np.ndarray] = []
-        terms, impacts = [], []
+        self.ids = len(idf)
+        impacts = []
         for ids in docs:
             term, tf = _terms(ids[:-1]) if len(ids) > 1 else (ids[:0], ids[:0])
             norm = K1 * (1 - B + B * len(ids) / mean_length)
-            impact = (idf[term] * tf * (K1 + 1) / (tf + norm)).astype(np.float32)
-            top = impact.argpartition(-QUERY_TERMS)[-QUERY_TERMS:] if len(term) > QUERY_TERMS else slice(None)
-            self.queries.append(term[top])
-            terms.append(term)
-            impacts.append(impact)
-        term = np.concatenate(terms) if terms else np.zeros(0, np.uint16)
-        doc = np.repeat(np.arange(len(docs)), [len(t) for t in terms])
+            impacts.append((idf[term] * tf * (K1 + 1) / (tf + norm)).astype(np.float32))
+            self.queries.append(term)
+        term = np.concatenate(self.queries) if docs else np.zeros(0, np.uint16)
+        doc = np.repeat(np.arange(len(docs), dtype=np.int64), [len(t) for t in self.queries])
         order = np.argsort(term, kind="stable")
-        self.doc = doc[order].astype(np.int32)
-        self.impact = np.concatenate(impacts)[order] if impacts else np.zeros(0, np.float32)
-        self.start = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(idf)))])
+        self._index(
+            np.arange(len(docs)),
+            term[order],
+            doc[order],
+            np.concatenate(impacts)[order] if docs else np.zeros(0, np.float32),
+        )
+
+    def _index(self, docs: np.ndarray, term: np.ndarray, doc: np.ndarray, impact: np.ndarray) -> None:
+        """Postings in order of ids; ``doc`` is a place in ``docs``."""
+        self.docs, self.term, self.doc, self.impact = docs, term, doc, impact
+        count = np.bincount(term, minlength=self.ids)
+        self.start = np.concatenate([[0], np.cumsum(count)])
+        common = np.flatnonzero(count > max(len(docs) * COMMON, 1))
+        self.row = np.full(self.ids, -1, np.int32)
+        self.row[common] = np.arange(len(common))
+        self.rows = np.zeros((len(common), len(docs)), np.float32)
+        for k, t in enumerate(common.tolist()):
+            span = slice(self.start[t], self.start[t + 1])
+            self.rows[k, doc[span]] = impact[span]
+
+    def _without_used(self) -> None:
+        left = ~self.used[self.docs]
+        if 8 * np.count_nonzero(left) <= 7 * len(left):
+            place = np.cumsum(left) - 1
+            kept = left[self.doc]
+            self._index(self.docs[left], self.term[kept], place[self.doc[kept]], self.impact[kept])
+
+    def scores(self, seed: int) -> np.ndarray:
+        """The BM25 score of every document of the index, by all ids of the seed."""
+        row = self.row[self.queries[seed]]
+        score = np.add.reduce(self.rows[row[row >= 0]], axis=0).astype(np.float64)
+        spans = [slice(self.start[t], self.start[t + 1]) for t in self.queries[seed][row < 0].tolist()]
+        if spans:
+            score += np.bincount(
+                np.concatenate([self.doc[s] for s in spans]),
+                np.concatenate([self.impact[s] for s in spans]),
+                minlength=len(self.docs),
+            )
+        return score
 
     def neighbours(self, seed: int) -> Iterator[int]:
-        """Unused documents that share a looked-up term with the seed, best score first."""
-        spans = [slice(self.start[t], self.start[t + 1]) for t in self.queries[seed]]
-        if not spans:
-            return
-        score = np.bincount(
-            np.concatenate([self.doc[s] for s in spans]),
-            np.concatenate([self.impact[s] for s in spans]),
-            minlength=len(self.used),
-        )
-        score[self.used] = 0
+        """Unused documents that share an id with the seed, best score first."""
+        self._without_used()
+        docs, score = self.docs, self.scores(seed)
+        score[self.used[docs]] = 0
         take = 16
         best = np.argpartition(-score, take)[:take] if len(score) > take else np.arange(len(score))
-        yield from self._ranked(score, best)
+        yield from self._ranked(docs, score, best)
         if len(score) > take:
             score[best] = 0
-            yield from self._ranked(score, np.flatnonzero(score))
+            yield from self._ranked(docs, score, np.flatnonzero(score))
 
-    def _ranked(self, score: np.ndarray, some: np.ndarray) -> Iterator[int]:
-        for d in some[np.lexsort((some, -score[some]))].tolist():
-            if score[d] > 0 and not self.used[d]:
-                yield d
+    def _ranked(self, docs: np.ndarray, score: np.ndarray, some: np.ndarray) -> Iterator[int]:
+        for k in some[np.lexsort((some, -score[some]))].tolist():
+            if score[k] > 0 and not self.used[docs[k]]:
+                yield int(docs[k])
 
 
 def pack_shard(
