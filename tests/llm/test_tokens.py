@@ -197,6 +197,31 @@ def test_a_seed_is_searched_by_all_of_its_ids():
         index.used[near[:15]] = True
 
 
+def test_like_documents_meet_in_a_shard(spark, sentences, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_IDS", 4_000)
+    rows = []
+    for group in range(60):
+        words = sentences(500 + group, 200)
+        for k in range(3):  # a tenth of the words differs
+            rows.append((3 * group + k, " ".join(w for j, w in enumerate(words) if j % 20 != k), "en"))
+    pieces = packing.pack(frame(spark, rows), WORDS, 1).select("doc_id", "sequence_id", "length").collect()
+    shards, sizes = {}, {}
+    for p in pieces:
+        shard = p["sequence_id"] >> 32
+        shards.setdefault(p["doc_id"] // 3, set()).add(shard)
+        sizes[shard] = sizes.get(shard, 0) + p["length"]
+    assert len(sizes) > 8 and max(sizes.values()) <= 4_000
+    assert sum(len(s) == 1 for s in shards.values()) >= 45  # none, if dealt by hash
+
+
+def test_copies_that_fill_shards_are_dealt_by_hash():
+    rng = np.random.default_rng(3)
+    points = np.concatenate([rng.standard_normal((200, packing.AXES)), np.ones((800, packing.AXES))]).astype(np.float32)
+    tree = packing.Tree(points, np.full(1000, 10.0), 1000)
+    size = np.bincount(tree.shard(points, rng.integers(0, 1 << 32, 1000)), minlength=tree.shards) * 10
+    assert size.sum() == 10_000 and size.max() <= 1400 and tree.shards >= 10
+
+
 def test_empty_tables(spark):
     none = frame(spark, [])
     assert bpe.round_trip_digests(none, RANKS, PATTERN).count() == 0

@@ -1,8 +1,11 @@
 """Packing into fixed windows by lexical retrieval.
 
-Documents are dealt by hash to shards of about equal numbers of ids. A shard holds an inverted
-index of its documents with BM25 impacts; document frequencies and the mean length are those of
-all documents. A seed document opens a window, and its unused neighbours, best first, fill it. A
+Documents are dealt to shards by lexical likeness: their BM25 impacts, projected to a few random
+axes, go down a tree of cuts that was fitted on a sample until a shard holds a bounded number of
+ids. Like documents meet, however many shards there are; copies that no cut tells apart and that
+fill a shard by themselves are dealt by hash. A shard holds an inverted index of its documents
+with BM25 impacts; document frequencies and the mean length are those of all documents. A seed
+is searched within its shard, by all of its ids. A seed document opens a window, and its unused neighbours, best first, fill it. A
 document that crosses the end of a window goes on in the next, whose seed it is. Where no
 neighbour is left, the next unused document fills the window and becomes the seed.
 
@@ -18,12 +21,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidelist.llm.common import lean, written
 from tidelist.llm.tokens import id_type, token_table
 
 WINDOW = 2048
-SHARD_IDS = 4 << 20  # mean ids of a shard: bounds the memory and the time of a task
+SHARD_IDS = 4 << 20  # ids of a shard: bounds the memory and the time of a task
+AXES = 64  # of the projection by which documents are dealt
+SAMPLE = 128  # documents of a shard that the tree is fitted on
+LEAST_SAMPLE = 4096  # documents for a small tree
 COMMON = 1 / 8  # share of a shard's documents from which an id has a row instead of a list
 K1, B = 1.2, 0.75
 
@@ -35,6 +42,90 @@ def _terms(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return row[first], np.diff(np.append(first, len(row)))
 
 
+def _impacts(ids: np.ndarray, idf: np.ndarray, mean_length: float) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ids of a document, without its end, and their BM25 impacts."""
+    term, tf = _terms(ids[:-1]) if len(ids) > 1 else (ids[:0], ids[:0])
+    norm = K1 * (1 - B + B * len(ids) / mean_length)
+    return term, (idf[term] * tf * (K1 + 1) / (tf + norm)).astype(np.float32)
+
+
+class Likeness:
+    """Documents as unit vectors; the angles are about those of their impacts."""
+
+    def __init__(self, idf: np.ndarray, mean_length: float):
+        self.idf, self.mean_length = idf, mean_length
+        self.axes = np.random.default_rng(AXES).standard_normal((len(idf), AXES), np.float32)
+
+    def vectors(self, docs: list[np.ndarray]) -> np.ndarray:
+        out = np.zeros((len(docs), AXES), np.float32)
+        for i, ids in enumerate(docs):
+            term, impact = _impacts(ids, self.idf, self.mean_length)
+            vector = impact @ self.axes[term]
+            out[i] = vector / max(float(np.linalg.norm(vector)), 1e-9)
+        return out
+
+
+class Tree:
+    """Cuts of the space into shards of at most ``limit`` in weight, as the sample has it.
+
+    A node is cut across its main axis, at the widest gap between its first and last quarter. What
+    cannot be cut is a leaf of several shards.
+    """
+
+    GAP = 1e-5  # vectors that are closer are equal
+
+    def __init__(self, vectors: np.ndarray, weight: np.ndarray, limit: float):
+        self.axis, self.cut, self.child, self.first, self.parts = [], [], [], [], []
+        shards = 0
+        todo = [(np.arange(len(vectors)), None)]
+        while todo:
+            some, above = todo.pop()
+            node = len(self.cut)
+            if above:
+                self.child[above[0]][above[1]] = node
+            heavy = weight[some].sum()
+            found = self._cut(vectors[some], weight[some]) if heavy > limit else None
+            axis, cut = found or (np.zeros(vectors.shape[1], np.float32), 0.0)
+            self.axis.append(axis)
+            self.cut.append(cut)
+            self.child.append([node, node])
+            self.first.append(shards)
+            self.parts.append(0 if found else max(1, int(-(-heavy // limit))))
+            shards += self.parts[-1]
+            if found:
+                right = vectors[some] @ axis > cut
+                todo += [(some[right], (node, 1)), (some[~right], (node, 0))]
+        self.shards = shards
+        self.axis = np.array(self.axis, np.float32)
+        self.cut = np.array(self.cut, np.float32)
+        self.child, self.first, self.parts = map(np.array, (self.child, self.first, self.parts))
+
+    def _cut(self, vectors: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float] | None:
+        mean = np.average(vectors, axis=0, weights=weight)
+        apart = (vectors - mean).astype(np.float64)
+        axis = np.linalg.eigh((apart * weight[:, None]).T @ apart)[1][:, -1].astype(np.float32)
+        place = vectors @ axis
+        order = np.argsort(place, kind="stable")
+        gap = np.diff(place[order])
+        share = np.cumsum(weight[order])[:-1] / weight.sum()
+        inner = np.where((share >= 0.25) & (share <= 0.75), gap, 0)
+        if not len(gap) or gap.max() <= self.GAP:
+            return None
+        # Where equal documents fill the middle, next to them.
+        at = inner.argmax() if inner.max() > self.GAP else np.where(gap > self.GAP, abs(share - 0.5), 1).argmin()
+        return axis, float((place[order[at]] + place[order[at + 1]]) / 2)
+
+    def shard(self, vectors: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """The shard of each document; ``hashes`` deal those of a leaf of several shards."""
+        node = np.zeros(len(vectors), np.int64)
+        while True:
+            right = np.einsum("ij,ij->i", vectors, self.axis[node]) > self.cut[node]
+            below = self.child[node, right.astype(np.int64)]
+            if (below == node).all():
+                return self.first[node] + hashes % self.parts[node]
+            node = below
+
+
 class Shard:
     """The inverted index of some documents. ``idf`` by id, of all documents.
 
@@ -49,9 +140,8 @@ class Shard:
         self.ids = len(idf)
         impacts = []
         for ids in docs:
-            term, tf = _terms(ids[:-1]) if len(ids) > 1 else (ids[:0], ids[:0])
-            norm = K1 * (1 - B + B * len(ids) / mean_length)
-            impacts.append((idf[term] * tf * (K1 + 1) / (tf + norm)).astype(np.float32))
+            term, impact = _impacts(ids, idf, mean_length)
+            impacts.append(impact)
             self.queries.append(term)
         term = np.concatenate(self.queries) if docs else np.zeros(0, np.uint16)
         doc = np.repeat(np.arange(len(docs), dtype=np.int64), [len(t) for t in self.queries])
@@ -183,6 +273,46 @@ def document_frequencies(tokens: DataFrame, dtype: str) -> DataFrame:
     return tokens.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
+def _dealt(tokens: DataFrame, dtype: str, idf, mean: float, count: int, total: int) -> DataFrame:
+    """``tokens`` with the shard of each document."""
+    if total <= SHARD_IDS:
+        return tokens.withColumn("shard", F.lit(0).cast("long"))
+
+    def vectors(batch: pa.RecordBatch, by: Likeness) -> np.ndarray:
+        return by.vectors([np.frombuffer(x, dtype) for x in batch["ids"].to_pylist()])
+
+    @lean
+    def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by = Likeness(idf.value, mean)
+        for batch in batches:
+            raw = pa.array([v.tobytes() for v in vectors(batch, by)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch["n"], batch["h"], raw], ["n", "h", "vector"])
+
+    hashed = tokens.withColumn("h", F.xxhash64("doc_id", "ids"))
+    share = min(1.0, max(LEAST_SAMPLE, SAMPLE * -(-total // SHARD_IDS)) / count)
+    some = hashed.where(F.pmod("h", F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) + 1))
+    # The sample grows by SAMPLE vectors of AXES numbers a shard, 32 KB for 4 million ids.
+    sample = some.select("n", "h", "ids").mapInArrow(project, "n long, h long, vector binary").toPandas()
+    sample = sample.sort_values(["h", "n"])
+    points = np.frombuffer(b"".join(sample["vector"]), np.float32).reshape(-1, AXES)
+    weight = sample["n"].to_numpy(np.float64)
+    weight *= total / max(weight.sum(), 1)
+    tree = tokens.sparkSession.sparkContext.broadcast(Tree(points, weight, SHARD_IDS))
+
+    @lean
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by = Likeness(idf.value, mean)
+        for batch in batches:
+            # Other bits than those that chose the sample.
+            hashes = batch["h"].to_numpy() >> 20 & 0xFFFFFFFF
+            shard = tree.value.shard(vectors(batch, by), hashes)
+            names = [n for n in batch.schema.names if n != "h"]
+            yield pa.RecordBatch.from_arrays([*(batch[n] for n in names), pa.array(shard)], [*names, "shard"])
+
+    schema = T.StructType([*tokens.schema.fields, T.StructField("shard", T.LongType())])
+    return hashed.mapInArrow(deal, schema)
+
+
 def pack(docs: DataFrame, vocabulary: str, end_id: int, window: int = WINDOW) -> DataFrame:
     """(doc_id, start, length, ids, doc_tokens, sequence_id, offset): every id in one piece.
 
@@ -202,7 +332,7 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int, window: int = WINDOW) ->
     df[seen["id"]] = seen["n"]
     idf = spark.sparkContext.broadcast(np.log1p((count - df + 0.5) / (df + 0.5)).astype(np.float32))
     mean = total / max(count, 1)
-    shards = max(1, -(-total // SHARD_IDS))
+    dealt = _dealt(tokens, dtype, idf, mean, count, total)
 
     def packed(group: pa.Table) -> pa.Table:
         group = group.sort_by([("doc_id", "ascending"), ("n", "ascending")])
@@ -227,5 +357,4 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int, window: int = WINDOW) ->
         "doc_id long, start long, length long, ids binary, doc_tokens long, "
         "sequence_id long, offset long"
     )
-    dealt = tokens.withColumn("shard", F.pmod(F.xxhash64("doc_id", "ids"), F.lit(shards)))
     return dealt.groupBy("shard").applyInArrow(packed, schema)
