@@ -64,6 +64,27 @@ def test_pipeline(spark, sentences):
     assert seen == {i: len(x) for i, x in ids.items()}
 
 
+def test_foreign_text_and_gibberish_go(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rng = np.random.default_rng(4)
+    foreign = [
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan.",
+        "Все люди рождаются свободными и равными в своем достоинстве и правах.",
+        "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。",
+        "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 300)),
+        "TWFuIGlzIGRpc3Rpbmd1aXNoZWQsIG5vdCBvbmx5IGJ5IGhpcyByZWFzb24sIGJ1dCBieSB0aGlz",
+        "x" * 1000,
+    ]
+    clean = ["to of and the", "der die das und von", "le la les et des", "los de para que el"]
+    texts = [(10_000_000 + i, t) for i, t in enumerate(foreign + clean)]
+    added = spark.createDataFrame(texts, "doc_id long, text string")
+    kept = corpus_pipeline.language_id(spark, docs.unionByName(added, allowMissingColumns=True), "")
+    left = {r["doc_id"] for r in kept.select("doc_id").collect()}
+    assert [i for i, _ in texts if i in left] == [10_000_000 + len(foreign) + i for i in range(len(clean))]
+    lettered = {r["doc_id"] for r in docs.where(r"regexp_like(text, '\\p{L}')").collect()}
+    assert len(lettered - left) <= len(lettered) / 200
+
+
 def test_pieces_of_the_given_table(spark):
     pieces = corpus_pipeline.packed(spark, spark.read.parquet(f"{SF_DIR}/documents.parquet"), SF_DIR).collect()
     by = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))

@@ -6,6 +6,7 @@ text gets the language whose tree codes it in the fewest bits. Every text is cod
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,6 +22,9 @@ UNKNOWN = "und"
 SAMPLE_TEXTS = 400  # of each language at most, chosen by hash
 SAMPLE_BYTES = 20_000  # longer texts are not chosen for the sample
 ORDER = 3  # longest context, in bytes
+COST_QUANTILE, COST_MARGIN = 0.995, 1.5
+UNEXPLAINED = 8.0  # bits of a byte without a model
+LETTER = re.compile(r"[^\W\d_]")
 
 
 def held_out() -> Column:
@@ -29,18 +33,8 @@ def held_out() -> Column:
     return F.coalesce(remainder == 2, F.lit(False))
 
 
-def train(
-    labelled: DataFrame,
-    texts: int = SAMPLE_TEXTS,
-    longest: int = SAMPLE_BYTES,
-    order: int = ORDER,
-) -> Model | None:
-    """A model from (text, lang): a sample of at most ``texts`` different texts per language.
-
-    Rows with a null text or lang are left out, and texts of over ``longest`` bytes. The sample
-    is chosen by the texts' hashes, so it does not depend on order, partitions or ids. None if no
-    text is left. The driver gets the sample only, of a number of languages that is small.
-    """
+def _sample(labelled: DataFrame, texts: int, longest: int) -> dict[str, list[bytes]]:
+    """At most ``texts`` different texts of each language, chosen and ordered by their hashes."""
     usable = labelled.where(
         F.col("lang").isNotNull() & F.octet_length("text").between(1, longest)
     ).select("lang", "text", F.xxhash64("text").alias("h"))
@@ -54,7 +48,7 @@ def train(
         else:
             limits[row["lang"]] = own.orderBy("h").limit(texts).agg(F.max("h")).first()[0]
     if not limits:
-        return None
+        return {}
     chosen = F.lit(False)
     for lang, limit in limits.items():
         chosen = chosen | ((F.col("lang") == lang) & (F.col("h") <= limit))
@@ -62,21 +56,57 @@ def train(
     samples: dict[str, list[bytes]] = {}
     for row in sorted(rows, key=lambda r: (r["lang"], r["h"])):
         samples.setdefault(row["lang"], []).append(row["text"].encode())
-    return fit(samples, order)
+    return samples
+
+
+def train(
+    labelled: DataFrame,
+    texts: int = SAMPLE_TEXTS,
+    longest: int = SAMPLE_BYTES,
+    order: int = ORDER,
+) -> Model | None:
+    """A model from (text, lang): a sample of at most ``texts`` different texts per language.
+
+    Rows with a null text or lang are left out, and texts of over ``longest`` bytes. The sample
+    is chosen by the texts' hashes, so it does not depend on order, partitions or ids. None if no
+    text is left. The driver gets the sample only, of a number of languages that is small.
+    """
+    samples = _sample(labelled, texts, longest)
+    return fit(samples, order) if samples else None
+
+
+def cost_limit(unfitted: DataFrame, model: Model, texts: int = SAMPLE_TEXTS, longest: int = SAMPLE_BYTES) -> float:
+    """Bits per byte above which no language of the model explains a text.
+
+    From (text, lang) that the model was not fitted on, sampled as for fitting: half more than all
+    but the dearest cost, so that a few foreign texts among the labelled do not set the limit.
+    Without such texts, what a byte costs of which nothing is known.
+    """
+    held = [t for own in _sample(unfitted, texts, longest).values() for t in own if LETTER.search(t.decode())]
+    if not held:
+        return UNEXPLAINED
+    bits = model.bits(held).min(axis=1) / [len(t) for t in held]
+    return COST_MARGIN * float(np.quantile(bits, COST_QUANTILE))
 
 
 def predicted(
-    docs: DataFrame, model: Model | None, lang: str = "lang_pred", score: str = "score"
+    docs: DataFrame,
+    model: Model | None,
+    lang: str = "lang_pred",
+    score: str = "score",
+    cost: str | None = None,
 ) -> DataFrame:
     """``docs`` with two more columns, the language and the score of every row.
 
+    With ``cost``, a third: the bits per byte under the language, 0 where it is ``und``.
+
     The language is ``und`` with score 0 where the text is null or holds no letter, and
     everywhere if there is no model. The score is the posterior of the language, each language as
     likely beforehand. Only the text decides: equal texts get equal results. Among languages of
     equal code length the first in order of name is taken.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = docs.withColumns({lang: F.lit(""), score: F.lit(0.0)}).schema
+    schema = docs.withColumns({lang: F.lit(""), score: F.lit(0.0)} | ({cost: F.lit(0.0)} if cost else {})).schema
     at = docs.columns.index("text")
 
     @lean
@@ -88,15 +118,18 @@ def predicted(
             spoken = np.flatnonzero(letters.to_numpy(zero_copy_only=False)) if by else []
             names = [UNKNOWN] * batch.num_rows
             likely = np.zeros(batch.num_rows)
+            dear = np.zeros(batch.num_rows)
             if len(spoken):
-                bits = by.bits(byte_texts(column.take(pa.array(spoken))))
+                texts = byte_texts(column.take(pa.array(spoken)))
+                bits = by.bits(texts)
+                dear[spoken] = bits.min(axis=1) / [len(t) for t in texts]
                 best = bits.argmin(axis=1)
                 more = bits - bits.min(axis=1, keepdims=True)
                 likely[spoken] = 1 / np.exp2(-more).sum(axis=1)
                 for i, b in zip(spoken.tolist(), best.tolist()):
                     names[i] = by.classes[b]
-            columns = [*batch.columns, pa.array(names), pa.array(likely)]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, lang, score])
+            columns = [*batch.columns, pa.array(names), pa.array(likely)] + ([pa.array(dear)] if cost else [])
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     return docs.mapInArrow(predict, schema)
 
