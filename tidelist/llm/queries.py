@@ -8,10 +8,71 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelist.llm import bpe, bsi, idfile, langid, minhash, packing, permindex, substring, urlfilter, warc
+from tidelist.llm import (
+    bpe,
+    bsi,
+    idfile,
+    langid,
+    minhash,
+    mixing,
+    packing,
+    permindex,
+    spelling,
+    substring,
+    urlfilter,
+    vafile,
+    warc,
+)
 from tidelist.llm.common import prepare, scratch
 from tidelist.session import configure
 
+
+def _centroid_sql(k: int, rounds: int) -> str:
+    """Rounds of clustering, each a few CTEs over one row per vector and component."""
+    steps = [
+        """v AS MATERIALIZED (
+            SELECT vec_id, unnest(range(64)) AS i, unnest(list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT)) AS x
+            FROM embeddings
+            WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+        )""",
+        f"""seed AS (
+            SELECT vec_id, row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS c
+            FROM (SELECT DISTINCT vec_id FROM v) QUALIFY c < {k}
+        )""",
+        "c0 AS MATERIALIZED (SELECT c, i, x FROM seed JOIN v USING (vec_id))",
+    ]
+    for r in range(rounds + 1):
+        steps.append(
+            f"""a{r} AS MATERIALIZED (
+            SELECT vec_id, arg_min(c, (distance, c)) AS c, min(distance) AS distance
+            FROM (
+                SELECT vec_id, c, sum((v.x - c{r}.x) * (v.x - c{r}.x))::BIGINT AS distance
+                FROM v JOIN c{r} USING (i) GROUP BY vec_id, c
+            ) GROUP BY vec_id
+        )"""
+        )
+        if r < rounds:
+            steps.append(
+                f"""c{r + 1} AS MATERIALIZED (
+            SELECT c{r}.c, c{r}.i, coalesce(m.x, c{r}.x) AS x
+            FROM c{r} LEFT JOIN (
+                SELECT c, i, ((s - ((s % n) + n) % n) // n)::BIGINT AS x
+                FROM (SELECT c, i, sum(x) AS s, count(*) AS n FROM a{r} JOIN v USING (vec_id) GROUP BY c, i)
+            ) m USING (c, i)
+        )"""
+            )
+    return f"""
+        WITH {", ".join(steps)},
+        digest AS (
+            SELECT c, sha256(string_agg(x::VARCHAR, ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY c
+        )
+        SELECT vec_id, c::INTEGER AS cluster, distance,
+            (sum(distance) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+            (sum(distance) OVER ())::BIGINT AS inertia, centroid_sha256
+        FROM a{rounds} JOIN digest USING (c)
+    """
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {
     "op3_seekable_warc": """
@@ -44,6 +105,54 @@ ORACLES: dict[str, str] = {
         )
         SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5
     """,
+    "op11_centroids": _centroid_sql(8, 10),
+    "op13_mixing": r"""
+        WITH d AS (
+            SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+                ('0x' || substr(md5('13:' || doc_id), 1, 15))::BIGINT AS key
+            FROM documents
+        ),
+        own AS (
+            SELECT source, sum(size)::BIGINT AS source_size,
+                (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight
+            FROM d GROUP BY source
+        ),
+        -- Sources by how soon they reach their cap; the rate if all before one are capped.
+        filled AS (
+            SELECT *, (SELECT sum(source_size) FROM own)
+                    - coalesce(sum(3 * source_size) OVER (ORDER BY 3 * source_size / weight, source
+                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+                sum(weight) OVER (ORDER BY 3 * source_size / weight, source
+                    ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights
+            FROM own
+        ),
+        rate AS (
+            SELECT rest::BIGINT AS rest, weights::BIGINT AS weights FROM filled
+            WHERE rest * weight <= 3 * source_size * weights
+            ORDER BY 3 * source_size / weight, source LIMIT 1
+        ),
+        t AS (
+            SELECT source, source_size,
+                CASE WHEN rest * weight > 3 * source_size * weights THEN (3 * source_size)::DOUBLE
+                    ELSE (rest * weight)::DOUBLE / weights END AS target,
+                CASE WHEN rest * weight > 3 * source_size * weights THEN 3 * source_size
+                    ELSE (rest * weight) // weights END AS budget
+            FROM own, rate
+        ),
+        placed AS (
+            SELECT *, sum(size) OVER (PARTITION BY source ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING) - size AS start
+            FROM d
+        ),
+        taken AS (
+            SELECT doc_id, p.source, size, source_size, target, start,
+                CASE WHEN source_size > 0 THEN budget // source_size ELSE 0 END AS epochs, budget
+            FROM placed p JOIN t ON p.source IS NOT DISTINCT FROM t.source
+        )
+        SELECT doc_id, source, size, source_size, target, start::BIGINT AS start,
+            (epochs + CASE WHEN budget - epochs * source_size - start >= size THEN 1 ELSE 0 END)::BIGINT AS epochs,
+            (epochs * size + greatest(least(budget - epochs * source_size - start, size), 0))::BIGINT AS taken
+        FROM taken
+    """,
 }
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -116,3 +225,19 @@ URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "bl
 @query
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"), URL_RULES).drop("url")
+
+
+@query
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    order = F.sha2(F.concat(F.lit("3:"), F.col("vec_id").cast("string")).cast("binary"), 256)
+    return vafile.with_inertia(vafile.cluster(table(spark, sf_dir, "embeddings"), order))
+
+
+@query
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.forms(spelling.words(table(spark, sf_dir, "documents")).where("n >= 2"))
+
+
+@query
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), [1, 2, 3]).documents
