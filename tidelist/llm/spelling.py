@@ -385,6 +385,7 @@ def forms(vocabulary: DataFrame, ratio: int = 10) -> DataFrame:
     at least ``ratio`` times the word's own. The root is where forms lead. Forms grow by the ratio
     at each step, so the way to the root has few steps, and pointers double at each.
     """
+    vocabulary = written(vocabulary.select("word", "n"), "spelling-vocabulary")
     # Strings are ordered by their UTF-8 bytes, which is the order of code points.
     best = F.min(F.struct((-F.col("near_n")).alias("less"), "near")).alias("best")
     found = near_pairs(vocabulary).groupBy("word").agg(F.count("*").alias("n_near"), best)
