@@ -2,8 +2,12 @@
 
 Stored daily rows are append-only and keyed by the landing they came from. They are current
 exactly while that landing is: re-landed, emptied, edited and withdrawn days drop out of the
-current view without a delete. Spells are stored per build, each board with the watermark of the
-days they were computed from.
+current view without a delete.
+
+Spells and the states of marts are append-only too, numbered by build. A log of boards tells from
+which build on closed spells of a board count and which build wrote its open ones; a log of weeks
+tells which build wrote the states of a board and week last. So nothing of an unchanged board is
+written again, and nothing of a changed one but what its change asks for.
 """
 
 from __future__ import annotations
@@ -11,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidelist.functions.dates import week_start
 from tidelist.operators.lifecycle import board_watermarks
 
 LANDING = ["company_key", "snapshot_date", "landing_id"]
@@ -63,6 +68,60 @@ def board_changes(ok_manifests: DataFrame, loaded: DataFrame) -> DataFrame:
     )
 
 
+def logged(changes: DataFrame, loaded: DataFrame, build: int) -> DataFrame:
+    """The boards' changes, with the builds that their stored spells are to be taken from.
+
+    Closed spells of a board count from build ``since``, when it was last computed from all of its
+    days; its open ones are those of build ``changed``.
+    """
+    before = loaded.select("company_key", "since", "changed")
+    now = F.lit(build).cast("bigint")
+    return changes.join(before, "company_key", "left").withColumns(
+        {
+            "since": F.when(F.col("change") == "rebuilt", now).otherwise(F.col("since")),
+            "changed": F.when(F.col("change") != "unchanged", now).otherwise(F.col("changed")),
+        }
+    )
+
+
+def live_spells(stored: DataFrame, boards: DataFrame) -> DataFrame:
+    """Stored spells (or counts of them) that count, by the log of boards; ``build`` is dropped."""
+    log = boards.select("company_key", "board_watermark", "since", "changed")
+    ended = ~F.col("is_open") & (F.col("build") >= F.col("since"))
+    still_open = F.col("is_open") & (F.col("build") == F.col("changed"))
+    return stored.join(log, "company_key").where(ended | still_open).drop("build", "since", "changed")
+
+
+def touched_weeks(before: DataFrame, now: DataFrame) -> DataFrame:
+    """(week_start, company_key) of all landings that only one of two states counts."""
+    sided = lambda ok, n: ok.select(*LANDING, F.lit(n).alias("_side"))
+    return (
+        sided(before, -1)
+        .union(sided(now, 1))
+        .groupBy(*LANDING)
+        .agg(F.sum("_side").alias("_side"))
+        .where("_side <> 0")
+        .select(week_start(F.col("snapshot_date")).alias("week_start"), "company_key")
+        .distinct()
+    )
+
+
+def of_weeks(daily: DataFrame, ok_manifests: DataFrame, weeks: DataFrame) -> DataFrame:
+    """Current daily rows of boards in weeks; folders of other weeks are not read."""
+    week = week_start(F.col("snapshot_date"))
+    # As many values as the calendar has weeks, at most.
+    wanted = [r[0] for r in weeks.select("week_start").distinct().collect()]
+    ok = ok_manifests.withColumn("week_start", week).join(weeks, ["week_start", "company_key"])
+    return current_daily(daily.where(week.isin(wanted)), ok)
+
+
+def live_states(stored: DataFrame, log: DataFrame) -> DataFrame:
+    """Of the states of each board and week, those of the build that the log names last."""
+    keys = ["week_start", "company_key"]
+    last = log.groupBy(*keys).agg(F.max("build").alias("build"))
+    return stored.join(last, [*keys, "build"]).drop("build")
+
+
 def of_boards(df: DataFrame, boards: DataFrame) -> DataFrame:
     return df.join(boards.select("company_key"), "company_key", "left_semi")
 

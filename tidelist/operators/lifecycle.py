@@ -78,7 +78,8 @@ def spells(
 
     ``earlier`` holds spells already known up to some day, in the format of the result; then
     ``parsed`` need only have the later days, and ``unparsed`` may have any. Open spells are
-    resumed from their last day, closed ones are only renumbered.
+    resumed from their last day. The result then holds only spells that are open or were closed
+    since: of closed ones it reads nothing but whose they are, for the numbers of later ones.
     """
     attrs = F.struct(*attributes).alias("attrs")
     attrs_type = parsed.select(attrs).schema["attrs"].dataType
@@ -148,9 +149,11 @@ def spells(
         )
         .drop("run", "attrs", "first_snapshot")
     )
-    if earlier is not None:
-        found = found.unionByName(earlier.where(~F.col("is_open")).select(found.columns))
     number = F.row_number().over(Window.partitionBy(entity).orderBy("first_seen"))
+    if earlier is not None:
+        ended = earlier.where(~F.col("is_open")).groupBy(entity).agg(F.count("*").alias("_ended"))
+        found = found.join(ended, entity, "left")
+        number = number + F.coalesce("_ended", F.lit(0))
     key, *rest = _SPELL_COLUMNS
     return found.withColumn("spell_number", number.cast("bigint")).select(
         key, entity, group, *rest, *attributes
@@ -160,7 +163,10 @@ def spells(
 def spell_fact(
     daily: DataFrame, unparsed: DataFrame, manifests: DataFrame, earlier: DataFrame | None = None
 ) -> DataFrame:
-    """Spells of the current state, with the watermark of the board they were computed from."""
+    """Spells of the current state, with the watermark of the board they were computed from.
+
+    With ``earlier`` spells, those that are open or were closed since (see ``spells``).
+    """
     ok = ok_landings(manifests)
     current = spells(daily, unparsed, snapshot_calendar(ok), earlier=earlier)
     return current.join(board_watermarks(ok), "company_key")

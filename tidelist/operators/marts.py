@@ -2,6 +2,10 @@
 
 Counts are additive, so every mart first aggregates to its finest grain (combined map-side, one
 shuffle) and derives the totals from that small result; nothing is expanded before it is grouped.
+
+The finest grains are states that merge by addition: ``week_states`` per week and board,
+``spell_counts`` per board. A build keeps them and replaces those of the boards and weeks that have
+changed; the ``_of`` functions derive the marts from states, whoever kept them.
 """
 
 from __future__ import annotations
@@ -22,8 +26,24 @@ def _bigint_sum(name: str) -> Column:
     return F.coalesce(F.sum(name), F.lit(0)).cast("bigint").alias(name)
 
 
+def postings_seen(daily: DataFrame) -> DataFrame:
+    """(company_key, postings_seen): distinct postings of each board."""
+    distinct = daily.select("company_key", "posting_key").distinct()
+    return distinct.groupBy("company_key").agg(F.count("*").alias("postings_seen"))
+
+
+def postings_seen_of(counts: DataFrame) -> DataFrame:
+    """The same from ``spell_counts``: every posting has one first spell."""
+    first = counts.where("is_first").groupBy("company_key")
+    return first.agg(F.sum("n").cast("bigint").alias("postings_seen"))
+
+
 def dim_company(manifests: DataFrame, daily: DataFrame) -> DataFrame:
     """One row per board ever attempted, with its extraction health."""
+    return dim_company_of(manifests, postings_seen(daily))
+
+
+def dim_company_of(manifests: DataFrame, seen: DataFrame) -> DataFrame:
     ok = F.col("status") == "ok"
     boards = manifests.groupBy("company_key", "source", "board").agg(
         F.max_by(
@@ -36,12 +56,6 @@ def dim_company(manifests: DataFrame, daily: DataFrame) -> DataFrame:
         F.count_if(~ok).alias("failed_snapshots"),
         F.coalesce(F.sum("reject_count"), F.lit(0)).cast("bigint").alias("rejected_records"),
     )
-    seen = (
-        daily.select("company_key", "posting_key")
-        .distinct()
-        .groupBy("company_key")
-        .agg(F.count("*").alias("postings_seen"))
-    )
     return boards.join(seen, "company_key", "left").withColumn(
         "postings_seen", F.coalesce("postings_seen", F.lit(0)).cast("bigint")
     )
@@ -51,13 +65,22 @@ def dim_role_family(role_families: DataFrame) -> DataFrame:
     return role_families.select("role_family", "display_name", "archetype")
 
 
+def spell_counts(spells: DataFrame) -> DataFrame:
+    """How many spells of a board share what the marts ask of a spell."""
+    return spells.groupBy(
+        "company_key",
+        "role_family",
+        "is_left_censored",
+        "is_open",
+        (F.col("spell_number") == 1).alias("is_first"),
+        week_start(F.col("first_seen")).alias("first_week"),
+        week_start(F.col("closed_at")).alias("closed_week"),
+        "days_to_close",
+    ).agg(F.count("*").alias("n"))
+
+
 def weekly_flow(manifests: DataFrame, daily: DataFrame, spells: DataFrame) -> DataFrame:
     """Postings listed, opened, reopened and closed per week with a successful snapshot."""
-    weeks = (
-        manifests.where(F.col("status") == "ok")
-        .select(week_start(F.col("snapshot_date")).alias("week_start"))
-        .distinct()
-    )
     # A posting belongs to one board, so distinct postings add up over boards.
     listed = (
         daily.select(
@@ -65,7 +88,28 @@ def weekly_flow(manifests: DataFrame, daily: DataFrame, spells: DataFrame) -> Da
         )
         .distinct()
         .groupBy("week_start", "company_key")
-        .agg(F.count("*").alias("n"))
+        .agg(F.count("*").alias("listed_postings"))
+    )
+    weeks = spells.select(
+        week_start(F.col("first_seen")).alias("first_week"),
+        week_start(F.col("closed_at")).alias("closed_week"),
+        "is_left_censored",
+        (F.col("spell_number") == 1).alias("is_first"),
+        F.lit(1).alias("n"),
+    )
+    return weekly_flow_of(manifests, listed, weeks)
+
+
+def weekly_flow_of(manifests: DataFrame, states: DataFrame, counts: DataFrame) -> DataFrame:
+    """The weekly flow from ``week_states`` and ``spell_counts``."""
+    weeks = (
+        manifests.where(F.col("status") == "ok")
+        .select(week_start(F.col("snapshot_date")).alias("week_start"))
+        .distinct()
+    )
+    listed = (
+        states.groupBy("week_start", "company_key")
+        .agg(F.sum("listed_postings").alias("n"))
         .groupBy("week_start")
         .agg(
             F.count("*").alias("boards_observed"),
@@ -74,19 +118,19 @@ def weekly_flow(manifests: DataFrame, daily: DataFrame, spells: DataFrame) -> Da
     )
     # Each spell is an opening in one week and perhaps a closure in another.
     starts = F.struct(
-        week_start(F.col("first_seen")).alias("week_start"),
-        F.when(~F.col("is_left_censored"), 1).otherwise(0).alias("opened"),
-        F.when(F.col("spell_number") > 1, 1).otherwise(0).alias("reopened"),
-        F.lit(0).alias("closed"),
+        F.col("first_week").alias("week_start"),
+        F.when(~F.col("is_left_censored"), F.col("n")).otherwise(0).alias("opened"),
+        F.when(~F.col("is_first"), F.col("n")).otherwise(0).alias("reopened"),
+        F.lit(0).cast(counts.schema["n"].dataType).alias("closed"),
     )
     ends = F.struct(
-        week_start(F.col("closed_at")).alias("week_start"),
-        F.lit(0).alias("opened"),
-        F.lit(0).alias("reopened"),
-        F.lit(1).alias("closed"),
+        F.col("closed_week").alias("week_start"),
+        F.lit(0).cast(counts.schema["n"].dataType).alias("opened"),
+        F.lit(0).cast(counts.schema["n"].dataType).alias("reopened"),
+        F.col("n").alias("closed"),
     )
     changes = (
-        spells.select(F.inline(F.array(starts, ends)))
+        counts.select(F.inline(F.array(starts, ends)))
         .where(F.col("week_start").isNotNull())
         .groupBy("week_start")
         .agg(_bigint_sum("opened"), _bigint_sum("reopened"), _bigint_sum("closed"))
@@ -115,18 +159,31 @@ def time_to_close(spells: DataFrame, role: str = "role_family") -> DataFrame:
     is there even if there are no spells.
     """
     closed = F.col("closed_at").isNotNull()
-    histogram = (
-        spells.groupBy(
-            F.col(role).alias("role_family"),
-            "is_left_censored",
-            "is_open",
-            closed.alias("is_closed"),
-            "days_to_close",
-        )
-        .agg(F.count("*").alias("n"))
-        .withColumn(
-            "counted_days", F.when(~F.col("is_left_censored"), F.col("days_to_close"))
-        )
+    histogram = spells.groupBy(
+        F.col(role).alias("role_family"),
+        "is_left_censored",
+        "is_open",
+        closed.alias("is_closed"),
+        "days_to_close",
+    ).agg(F.count("*").alias("n"))
+    return _close_times(histogram)
+
+
+def time_to_close_of(counts: DataFrame) -> DataFrame:
+    """The same from ``spell_counts``."""
+    histogram = counts.groupBy(
+        "role_family",
+        "is_left_censored",
+        "is_open",
+        F.col("closed_week").isNotNull().alias("is_closed"),
+        "days_to_close",
+    ).agg(F.sum("n").cast("bigint").alias("n"))
+    return _close_times(histogram)
+
+
+def _close_times(histogram: DataFrame) -> DataFrame:
+    histogram = histogram.withColumn(
+        "counted_days", F.when(~F.col("is_left_censored"), F.col("days_to_close"))
     )
     total = lambda condition: F.coalesce(
         F.sum(F.when(condition, F.col("n"))), F.lit(0)
@@ -216,17 +273,35 @@ def weekly_latest(daily: DataFrame, columns: list[str]) -> DataFrame:
     ).drop("snapshot_date")
 
 
-def remote_share(daily: DataFrame) -> DataFrame:
-    """Workplace mix of listed postings per week."""
+_WORKPLACES = [f"{t}_postings" for t in fixed.WORKPLACE_TYPES]
+_LEVELS = ["listed_postings", "intern_postings", "entry_level_postings"]
+
+
+def week_states(daily: DataFrame) -> DataFrame:
+    """Counts of the postings a board listed in a week, by role, as they were last seen in it."""
+    attributes = ["company_key", "role_family", "workplace_type", "seniority", "is_entry_level"]
     is_type = lambda t: F.count_if(F.col("workplace_type") == t)
-    counted = (
-        weekly_latest(daily, ["workplace_type"])
-        .groupBy("week_start")
+    return (
+        weekly_latest(daily, attributes)
+        .groupBy("week_start", "company_key", "role_family")
         .agg(
             F.count("*").alias("listed_postings"),
-            *[is_type(t).alias(f"{t}_postings") for t in fixed.WORKPLACE_TYPES],
+            F.count_if(F.col("seniority") == "intern").alias("intern_postings"),
+            F.count_if("is_entry_level").alias("entry_level_postings"),
+            *[is_type(t).alias(name) for t, name in zip(fixed.WORKPLACE_TYPES, _WORKPLACES)],
         )
     )
+
+
+def remote_share(daily: DataFrame) -> DataFrame:
+    """Workplace mix of listed postings per week."""
+    return remote_share_of(week_states(daily))
+
+
+def remote_share_of(states: DataFrame) -> DataFrame:
+    counted = states.groupBy("week_start").agg(
+        *[_bigint_sum(m) for m in ("listed_postings", *_WORKPLACES)]
+    )
     listed = F.col("listed_postings")
     return counted.withColumns(
         {
@@ -238,20 +313,15 @@ def remote_share(daily: DataFrame) -> DataFrame:
 
 def entry_level_share(daily: DataFrame) -> DataFrame:
     """Share of internships and entry-level postings per week and role, and over all roles."""
-    measures = ["listed_postings", "intern_postings", "entry_level_postings"]
-    counted = (
-        weekly_latest(daily, ["role_family", "seniority", "is_entry_level"])
-        .groupBy("week_start", "role_family")
-        .agg(
-            F.count("*").alias("listed_postings"),
-            F.count_if(F.col("seniority") == "intern").alias("intern_postings"),
-            F.count_if("is_entry_level").alias("entry_level_postings"),
-        )
-    )
-    return by_role_and_overall(counted, ["week_start"], measures).select(
+    return entry_level_share_of(week_states(daily))
+
+
+def entry_level_share_of(states: DataFrame) -> DataFrame:
+    counted = states.groupBy("week_start", "role_family").agg(*[_bigint_sum(m) for m in _LEVELS])
+    return by_role_and_overall(counted, ["week_start"], _LEVELS).select(
         "week_start",
         "role_family",
-        *measures,
+        *_LEVELS,
         _share(F.col("entry_level_postings"), F.col("listed_postings")).alias(
             "entry_level_share"
         ),

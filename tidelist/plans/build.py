@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
@@ -14,8 +15,13 @@ from tidelist.operators.geo import dim_location
 from tidelist.operators.incremental import (
     board_changes,
     current_daily,
+    live_spells,
+    live_states,
+    logged,
     of_boards,
+    of_weeks,
     pending_landings,
+    touched_weeks,
 )
 from tidelist.operators.lifecycle import daily_fact, spell_fact
 from tidelist.operators.manifests import ok_landings, unparsed_observations
@@ -28,7 +34,18 @@ from tidelist.operators.normalize import (
 from tidelist.operators.skills import bridge_of_tagged, skill_bridge, tagged_observations
 from tidelist.schemas import ATTEMPTS, DAILY, columns_of, conform
 from tidelist.session import configure
-from tidelist.sources.lake import DAILY_LOG, OBSERVATIONS, SPELLS, SPELLS_LOG, UNPARSED, Lake
+from tidelist.sources.lake import (
+    DAILY_LOG,
+    OBSERVATIONS,
+    SPELL_COUNTS,
+    SPELL_ROWS,
+    SPELLS,
+    SPELLS_LOG,
+    UNPARSED,
+    WEEK_LOG,
+    WEEK_STATES,
+    Lake,
+)
 from tidelist.sources.rules import Rules
 
 MARTS = [
@@ -44,7 +61,7 @@ MARTS = [
     "mart_remote_share",
     "mart_entry_level_share",
 ]
-CONCURRENT_MARTS = 4
+CONCURRENT_JOBS = 6
 _DAILY_COLUMNS = [name for name, _ in columns_of(DAILY)]
 
 
@@ -104,58 +121,70 @@ def build(lake: Lake, rules: Rules | None = None, full_refresh: bool = False) ->
     if generation and not full_refresh and inputs == _inputs_of(lake, number, generation):
         return number
     number += 1
+    nothing = lake.spark.createDataFrame
     if full_refresh or generation == 0:
         generation += 1
-        loaded = lake.spark.createDataFrame([], DAILY_LOG)
-        loaded_spells = lake.spark.createDataFrame([], SPELLS_LOG)
-        earlier = lake.spark.createDataFrame([], SPELLS)
+        loaded, loaded_spells = nothing([], DAILY_LOG), nothing([], SPELLS_LOG)
+        earlier, counted = nothing([], SPELLS), nothing([], ATTEMPTS)
     else:
         loaded, loaded_spells = lake.daily_log(), lake.spells_log()
-        earlier = lake.stored_spells()
+        earlier, counted = lake.stored_spells(), lake.built_manifests()
     base = f"warehouse/generation={generation}"
-    write = lambda df, table, by=(): lake._write(
-        df, f"{base}/{table}/build={number}", by
-    )
+
+    def write(df: DataFrame, ddl: str, table: str, by: tuple[str, ...] = ()) -> None:
+        lake._write(conform(df, ddl), f"{base}/{table}/build={number}", by)
+
+    own = lambda table, ddl: lake._read(f"{base}/{table}/build={number}", ddl)
 
     # Resolved once and written: everything below, and every reader, sees the same state.
-    write(conform(lake.manifests(), ATTEMPTS), "manifests")
-    manifests = lake._read(f"{base}/manifests/build={number}", ATTEMPTS)
+    write(lake.manifests(), ATTEMPTS, "manifests")
+    manifests = own("manifests", ATTEMPTS)
     ok = ok_landings(manifests)
     pending = pending_landings(ok, loaded)
-    version = vocabulary_version(rules)
-    write(
-        conform(observations_of(lake.lines(pending), rules), OBSERVATIONS),
-        "observations",
-        ("snapshot_date",),
-    )
-    write(
-        conform(pending.withColumn("vocabulary_version", F.lit(version)), DAILY_LOG),
-        "daily_log",
+    log = pending.withColumn("vocabulary_version", F.lit(vocabulary_version(rules)))
+    boards = logged(board_changes(ok, loaded_spells), loaded_spells, number)
+    lines = lake.lines(pending)
+    unread = lake.unparsed_of(pending)
+    _together(
+        lambda: write(observations_of(lines, rules), OBSERVATIONS, "observations", ("snapshot_date",)),
+        lambda: write(log, DAILY_LOG, "daily_log"),
+        lambda: write(unread, UNPARSED, "unparsed"),
+        lambda: write(boards, SPELLS_LOG, "spells_log"),
+        lambda: write(touched_weeks(ok_landings(counted), ok), WEEK_LOG, "week_log"),
     )
+    stored = _stored(lake, base, "observations", OBSERVATIONS, number)
+    daily = current_daily(stored, ok)
+    unparsed = current_daily(_stored(lake, base, "unparsed", UNPARSED, number), ok)
+    boards = own("spells_log", SPELLS_LOG)
+    touched = of_weeks(stored, ok, own("week_log", WEEK_LOG))
 
-    unread = lake.unparsed_of(pending)
-    write(conform(unread, UNPARSED), "unparsed")
+    def write_spells() -> None:
+        changed = _spells(boards, daily, unparsed, ok, earlier)
+        write(changed, SPELL_ROWS, "spells", ("is_open",))
+        ended = own("spells", SPELL_ROWS).where("NOT is_open")
+        write(marts.spell_counts(ended), SPELL_COUNTS, "spell_counts")
 
-    daily = current_daily(_stored(lake, base, "observations", OBSERVATIONS, number), ok)
-    unparsed = current_daily(_stored(lake, base, "unparsed", UNPARSED, number), ok)
-    write(conform(board_changes(ok, loaded_spells), SPELLS_LOG), "spells_log")
-    boards = lake._read(f"{base}/spells_log/build={number}", SPELLS_LOG)
-    write(conform(_spells(boards, daily, unparsed, ok, earlier), SPELLS), "spells")
-    current = lake._read(f"{base}/spells/build={number}", SPELLS)
-    log = _stored(lake, base, "daily_log", DAILY_LOG, number)
+    _together(
+        write_spells, lambda: write(marts.week_states(touched), WEEK_STATES, "week_states")
+    )
     # The marts are independent and mostly small: their jobs share the cluster.
-    with ThreadPoolExecutor(CONCURRENT_MARTS) as pool:
-        jobs = [
-            pool.submit(write, mart, f"marts/{name}")
-            for name, mart in _marts(lake, rules, manifests, daily, current, log).items()
-        ]
-        for job in jobs:
-            job.result()
-    write(lake.spark.createDataFrame(inputs, INPUTS).coalesce(1), "inputs")
+    made = _marts(lake, base, number, rules, manifests, daily, boards)
+    save = lambda name, mart: lake._write(mart, f"{base}/marts/{name}/build={number}")
+    _together(
+        lambda: write(nothing(inputs, INPUTS).coalesce(1), INPUTS, "inputs"),
+        *[lambda name=name, mart=mart: save(name, mart) for name, mart in made.items()],
+    )
     lake.commit("build", number, generation)
     return number
 
 
+def _together(*jobs: Callable[[], None]) -> None:
+    """Run jobs that don't depend on each other at the same time."""
+    with ThreadPoolExecutor(CONCURRENT_JOBS) as pool:
+        for job in [pool.submit(job) for job in jobs]:
+            job.result()
+
+
 def rules_state(rules: Rules) -> str:
     """Changes with any rule table."""
     return hashlib.sha256(repr(rules).encode()).hexdigest()
@@ -170,13 +199,14 @@ def _inputs_of(lake: Lake, number: int, generation: int) -> list[tuple]:
 def _spells(
     boards: DataFrame, daily: DataFrame, unparsed: DataFrame, ok: DataFrame, earlier: DataFrame
 ) -> DataFrame:
-    """Spells of all boards, with no more work per board than its change asks for."""
+    """Spells to store: none of unchanged boards, open and newly closed ones of extended boards,
+    all of rebuilt boards."""
     changes = {
         r.change: r.known_until
         for r in boards.groupBy("change").agg(F.min("known_until").alias("known_until")).collect()
     }
     of = lambda change: boards.where(F.col("change") == change)
-    parts = [of_boards(earlier, of("unchanged"))]
+    parts = []
     if "extended" in changes:
         board = of("extended").select("company_key", "known_until")
         # The literal bound prunes the folders of earlier days.
@@ -190,7 +220,7 @@ def _spells(
                 of_boards(earlier, board).drop("board_watermark"),
             )
         )
-    if "rebuilt" in changes:
+    if "rebuilt" in changes or not parts:
         board = of("rebuilt")
         parts.append(
             spell_fact(of_boards(daily, board), of_boards(unparsed, board), of_boards(ok, board))
@@ -200,30 +230,40 @@ def _spells(
 
 def _stored(lake: Lake, base: str, table: str, ddl: str, number: int) -> DataFrame:
     """A stored fact including the folders of the build in progress."""
+    return _numbered(lake, base, table, ddl, number).drop("build")
+
+
+def _numbered(lake: Lake, base: str, table: str, ddl: str, number: int) -> DataFrame:
     rows = lake._read(f"{base}/{table}", f"{ddl}, build bigint")
-    return rows.where(F.col("build") <= number).drop("build")
+    return rows.where(F.col("build") <= number)
 
 
 def _marts(
     lake: Lake,
+    base: str,
+    number: int,
     rules: Rules,
     manifests: DataFrame,
     daily: DataFrame,
-    spells: DataFrame,
-    log: DataFrame,
+    boards: DataFrame,
 ) -> dict[str, DataFrame]:
     spark = lake.spark
-    bridge = _bridge(lake, rules, daily, log)
+    stored = lambda table, ddl: _numbered(lake, base, table, ddl, number)
+    bridge = _bridge(lake, rules, daily, stored("daily_log", DAILY_LOG))
+    spells = live_spells(stored("spells", SPELL_ROWS), boards)
+    counts = live_spells(stored("spell_counts", SPELL_COUNTS), boards).drop("board_watermark")
+    counts = counts.unionByName(marts.spell_counts(spells.where("is_open")))
+    states = live_states(stored("week_states", WEEK_STATES), stored("week_log", WEEK_LOG))
     return {
-        "dim_company": marts.dim_company(manifests, daily),
+        "dim_company": marts.dim_company_of(manifests, marts.postings_seen_of(counts)),
         "dim_location": dim_location(daily, rules.frame(spark, "geo_aliases")),
         "dim_role_family": marts.dim_role_family(rules.frame(spark, "role_families")),
         "bridge_posting_skill": bridge,
-        "mart_weekly_postings_flow": marts.weekly_flow(manifests, daily, spells),
-        "mart_time_to_close": marts.time_to_close(spells),
+        "mart_weekly_postings_flow": marts.weekly_flow_of(manifests, states, counts),
+        "mart_time_to_close": marts.time_to_close_of(counts),
         "mart_skill_demand": marts.skill_demand(spells, bridge),
-        "mart_remote_share": marts.remote_share(daily),
-        "mart_entry_level_share": marts.entry_level_share(daily),
+        "mart_remote_share": marts.remote_share_of(states),
+        "mart_entry_level_share": marts.entry_level_share_of(states),
     }
 
 

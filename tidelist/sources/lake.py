@@ -16,6 +16,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelist import fixed_values as fixed
+from tidelist.operators.incremental import live_spells
 from tidelist.operators.manifests import BOARD_DAY, current_manifests, ok_landings, rejected_ids
 from tidelist.schemas import ATTEMPTS, DAILY, ITEMS, columns_of, conform
 
@@ -33,8 +35,20 @@ SPELLS = (
 DAILY_LOG = (
     "company_key string, snapshot_date date, landing_id string, vocabulary_version string"
 )
+SPELL_ROWS = SPELLS.removesuffix(", board_watermark string")
 SPELLS_LOG = (
-    "company_key string, board_watermark string, last_day date, known_until date, change string"
+    "company_key string, board_watermark string, last_day date, known_until date, change string, "
+    "since bigint, changed bigint"
+)
+SPELL_COUNTS = (
+    "company_key string, role_family string, is_left_censored boolean, is_open boolean, "
+    "is_first boolean, first_week date, closed_week date, days_to_close bigint, n bigint"
+)
+WEEK_LOG = "week_start date, company_key string"
+WEEK_STATES = (
+    f"{WEEK_LOG}, role_family string, listed_postings bigint, intern_postings bigint, "
+    "entry_level_postings bigint, "
+    + ", ".join(f"{t}_postings bigint" for t in fixed.WORKPLACE_TYPES)
 )
 UNPARSED = (
     "company_key string, source string, board string, snapshot_date date, posting_id string, "
@@ -238,8 +252,11 @@ class Lake:
         return self._of_last_build("manifests", ATTEMPTS)
 
     def stored_spells(self) -> DataFrame:
-        """The spells as of the last build, complete."""
-        return self._of_last_build("spells", SPELLS)
+        """The spells as of the last build: of all builds' rows those that count."""
+        number, _ = self.last_commit("build")
+        rows = self._read(f"{self._generation()}/spells", f"{SPELL_ROWS}, build bigint")
+        live = live_spells(rows.where(F.col("build") <= number), self.spells_log())
+        return live.select([name for name, _ in columns_of(SPELLS)])
 
     def spells_log(self) -> DataFrame:
         """The boards as of the last build, and how they had changed."""
