@@ -350,7 +350,7 @@ def spells_incremental(spark, sf):
     S.chain(*S.TO_DAILY, S.VOCABULARY, S.BRIDGE) + "SELECT * FROM bridge",
 )
 def skill_bridge(spark, sf):
-    return skills.skill_bridge(R.postings(spark, sf), RULES.skill_vocabulary)
+    return skills.skill_bridge(normalize.normalize(R.lines(spark, sf)), RULES.skill_vocabulary)
 
 
 @query(
@@ -598,6 +598,55 @@ def stale_daily_rows(spark, sf):
     )
 
 
+def _kept_mart(name, mart, ctes, relation):
+    """A mart as two builds left it, from states that the second one added to or replaced."""
+    query(f"{name}_incremental", S.chain(*ctes) + f"SELECT * FROM {relation}")(
+        lambda spark, sf: built.relation(R.lake(spark, sf), mart)
+    )
+
+
+_kept_mart("weekly_flow", "mart_weekly_postings_flow", [*S.TO_SPELLS, S.FLOW], "weekly_flow")
+_kept_mart("time_to_close", "mart_time_to_close", [*S.TO_SPELLS, S.close_times()], "times")
+_kept_mart("remote_share", "mart_remote_share", [*S.TO_DAILY, S.WEEKLY], "remote")
+_kept_mart("entry_level_share", "mart_entry_level_share", [*S.TO_DAILY, S.WEEKLY], "entry_share")
+
+
+@query("dim_company_incremental", S.chain(*S.TO_DAILY) + _COMPANY_SQL)
+def dim_company_incremental(spark, sf):
+    return built.relation(R.lake(spark, sf), "dim_company")
+
+
+@query(
+    "entry_level_share_after_withdrawal",
+    S.chain(
+        S.ITEMS,
+        S.MANIFESTS.replace("manifests AS (", "landed AS ("),
+        "manifests AS (SELECT * REPLACE (CASE WHEN day(snapshot_date) % 5 = 0 "
+        "THEN 'contract_failed' ELSE status END AS status) FROM landed)",
+        S.NORMALIZED,
+        S.ROLE_RULES,
+        S.CLASSIFIED,
+        S.WEEKLY,
+    )
+    + "SELECT * FROM entry_share",
+)
+def entry_level_share_after_withdrawal(spark, sf):
+    """Every fifth day is withdrawn: only states of the weeks it touches are replaced."""
+    lake = R.lake(spark, sf)
+    before = manifests.ok_landings(lake.manifests())
+    now = before.where(F.dayofmonth("snapshot_date") % 5 != 0)
+    touched = incremental.touched_weeks(before, now)
+    numbered = lambda df, n: df.withColumn("build", F.lit(n).cast("bigint"))
+    first = marts.week_states(incremental.current_daily(lake.observations(), before))
+    second = marts.week_states(incremental.of_weeks(lake.observations(), now, touched))
+    every = first.select("week_start", "company_key").distinct()
+    states = incremental.live_states(
+        numbered(first, 1).unionByName(numbered(second, 2)),
+        numbered(every, 1).unionByName(numbered(touched, 2)),
+    )
+    return marts.entry_level_share_of(states)
+
+
 @query(
     "spells_after_withdrawal",
     S.chain(

@@ -55,6 +55,27 @@ def test_required_literals_are_necessary():
     assert text.required_literals(r"foo|") is None
 
 
+def test_required_words_are_necessary():
+    for pattern, words in {
+        r"\bpython\b": ["python"],
+        r"\bstatistic(s|al)\b": ["statistics", "statistical"],
+        r"\bpostgres(ql)?\b": ["postgres", "postgresql"],
+        r"\b(?:py)?spark\b": ["spark", "pyspark"],
+        r"\bci/cd\b|\bcontinuous integration\b": ["ci", "integration"],
+        r"\bspring boot": ["spring"],
+        r"\bros ?2?\b": ["ros", "ros2"],
+        r"x\+\+ lang(uage)?\b": ["lang", "language"],
+    }.items():
+        assert sorted(text.required_words(pattern)) == sorted(words), pattern
+    for pattern in (r"python", r"\bpython", r"\bpy[a-z]+\b", r"(^|[^a-z])c\+\+", r"\ba\b|b", r"\ba{2}\b", ".", r"\bx+\b"):
+        assert text.required_words(pattern) is None, pattern
+    samples = ("python", "c# and .net 8", "we use go, sql and excel", "ros 2", "unity3d", "node.js", "data warehouses")
+    for _, _, pattern in RULES.skill_vocabulary:
+        for sample in samples:
+            if re.search(pattern, sample) and (words := text.required_words(pattern)):
+                assert set(words) & set(re.split("[^A-Za-z0-9_]+", sample)), (pattern, sample)
+
+
 def test_html_to_text(spark):
     inputs = [
         "&lt;p&gt;C++ &amp;amp; &lt;b&gt;Go&lt;/b&gt;&lt;/p&gt;",

@@ -102,6 +102,60 @@ def required_literals(pattern: str) -> list[str] | None:
     return literals
 
 
+# What stands in a spelled-out pattern for a word boundary, and for anything.
+_EDGE, _ANY = "\x00", "\x01"
+MOST_SPELLINGS = 64
+
+
+def _spellings(tokens: list[str], at: int = 0) -> tuple[list[str], int]:
+    """All ways to spell a pattern's matches, up to a closing bracket, and where that stands."""
+    found, current = [], [""]
+    while at < len(tokens) and tokens[at] != ")":
+        token = tokens[at]
+        if token == "|":
+            found, current, at = found + current, [""], at + 1
+            continue
+        if token == "(":
+            inside = at + 3 if tokens[at + 1 : at + 3] == ["?", ":"] else at + 1
+            item, at = _spellings(tokens, inside)
+        elif token in (r"\b", "^", "$"):
+            item = [_EDGE]
+        elif re.fullmatch(r"\\[^\w\s]", token):
+            item = [token[1:]]
+        else:
+            item = [token if len(token) == 1 and token != "." else _ANY]
+        at += 1
+        while at < len(tokens) and tokens[at] in _QUANTIFIERS:
+            item = ["", *item] if tokens[at] == "?" else [_ANY]
+            at += 1 if tokens[at] != "{" else tokens[at:].index("}") + 1
+        if len(current) * len(item) > MOST_SPELLINGS:
+            item = [_ANY]
+        current = [c + x for c in current for x in item]
+    return found + current, at
+
+
+def required_words(pattern: str) -> list[str] | None:
+    """Words of which every text with a match has at least one, or None if that is not evident.
+
+    A word is a maximal run of ``[A-Za-z0-9_]``. The pattern is spelled out: optional parts and
+    alternatives in brackets are few in a vocabulary. Each spelling must hold a word that is whole
+    by an edge or another character on either side.
+    """
+    words = []
+    spellings, _ = _spellings(_TOKEN.findall(pattern))
+    for spelling in spellings:
+        # An edge within a run of word characters never matches; beside others it says nothing.
+        whole = re.findall(r"(?<![A-Za-z0-9_\x01])[A-Za-z0-9_]+(?![A-Za-z0-9_\x01])", spelling)
+        if spelling[:1] not in (_EDGE, _ANY) and whole and spelling.startswith(whole[0]):
+            whole = whole[1:]
+        if spelling[-1:] not in (_EDGE, _ANY) and whole and spelling.endswith(whole[-1]):
+            whole = whole[:-1]
+        if not whole:
+            return None
+        words.append(max(whole, key=len))
+    return list(dict.fromkeys(words))
+
+
 def sql_text(value: str) -> str:
     """A Spark SQL string literal."""
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -140,18 +140,20 @@ def build(lake: Lake, rules: Rules | None = None, full_refresh: bool = False) ->
     write(lake.manifests(), ATTEMPTS, "manifests")
     manifests = own("manifests", ATTEMPTS)
     ok = ok_landings(manifests)
-    pending = pending_landings(ok, loaded)
-    log = pending.withColumn("vocabulary_version", F.lit(vocabulary_version(rules)))
+    version = F.lit(vocabulary_version(rules))
+    new = pending_landings(ok, loaded).withColumn("vocabulary_version", version)
     boards = logged(board_changes(ok, loaded_spells), loaded_spells, number)
-    lines = lake.lines(pending)
-    unread = lake.unparsed_of(pending)
     _together(
-        lambda: write(observations_of(lines, rules), OBSERVATIONS, "observations", ("snapshot_date",)),
-        lambda: write(log, DAILY_LOG, "daily_log"),
-        lambda: write(unread, UNPARSED, "unparsed"),
+        lambda: write(new, DAILY_LOG, "daily_log"),
         lambda: write(boards, SPELLS_LOG, "spells_log"),
         lambda: write(touched_weeks(ok_landings(counted), ok), WEEK_LOG, "week_log"),
     )
+    pending = current_daily(ok, own("daily_log", DAILY_LOG))
+    stored_lines = lambda: observations_of(lake.lines(pending), rules)
+    _together(
+        lambda: write(stored_lines(), OBSERVATIONS, "observations", ("snapshot_date",)),
+        lambda: write(lake.unparsed_of(pending), UNPARSED, "unparsed"),
+    )
     stored = _stored(lake, base, "observations", OBSERVATIONS, number)
     daily = current_daily(stored, ok)
     unparsed = current_daily(_stored(lake, base, "unparsed", UNPARSED, number), ok)
@@ -272,7 +274,7 @@ def _bridge(lake: Lake, rules: Rules, daily: DataFrame, log: DataFrame) -> DataF
     version = vocabulary_version(rules)
     if log.where(F.col("vocabulary_version") != version).isEmpty():
         return bridge_of_tagged(daily, [F.col("snapshot_date").desc()])
-    return skill_bridge(one_per_snapshot(normalize(lake.lines())), rules.skill_vocabulary)
+    return skill_bridge(normalize(lake.lines()), rules.skill_vocabulary)
 
 
 # ---- Reading a built lake --------------------------------------------------------------------

@@ -270,14 +270,13 @@ class Lake:
         )
 
 
-
-
 def _prune(items: DataFrame, landings: DataFrame) -> DataFrame:
     """Skip the folders that hold none of the landings: days outside their span, other loads."""
-    span = landings.agg(F.min("snapshot_date"), F.max("snapshot_date")).first()
-    if span[0] is None:
+    # One number per landing run, as the commit records that every read goes through.
+    first, last, loads = landings.agg(
+        F.min("snapshot_date"), F.max("snapshot_date"), F.collect_set("items_load")
+    ).first()
+    if first is None:
         return items.where(F.lit(False))
-    pruned = items.where(F.col("snapshot_date").between(F.lit(span[0]), F.lit(span[1])))
-    # One number per landing, as the commit records that every read goes through.
-    loads = landings.select("items_load").distinct().collect()
-    return pruned.where(F.col("load").isin([r[0] for r in loads]))
+    of_span = F.col("snapshot_date").between(F.lit(first), F.lit(last))
+    return items.where(of_span & F.col("load").isin(loads))
