@@ -13,6 +13,7 @@ from tidelist.operators.contracts import parse_responses
 from tidelist.operators.gates import drop_guard, reject_gate, summarize_board_days
 from tidelist.operators.gates import board_policies
 from tidelist.plans import build as built
+from tidelist.plans import landing
 
 NTZ = "timestamp_ntz"
 
@@ -139,6 +140,25 @@ def previous_ok(spark, sf):
     )
 
 
+@query(
+    "set_aside",
+    S.chain(S.ITEMS)
+    + """SELECT DISTINCT company_key, d AS snapshot_date, CASE rk WHEN 1 THEN 500 ELSE 200 END
+      AS http_status, board LIKE 'error%' AS is_stranger FROM described""",
+)
+def set_aside(spark, sf):
+    """Where each response goes if the boards of errors are not configured."""
+    configured = R.derived_boards(spark, sf).where("NOT startswith(board, 'error')")
+    known, strangers = landing.by_configuration(R.derived_responses(spark, sf), configured)
+    sided = lambda df, side: df.select(
+        F.concat("source", F.lit(":"), "board").alias("company_key"),
+        "snapshot_date",
+        "http_status",
+        F.lit(side).alias("is_stranger"),
+    )
+    return sided(known, False).union(sided(strangers, True))
+
+
 @query(
     "landing_summary",
     S.chain(*S.LISTINGS)

@@ -62,6 +62,15 @@ def judge(
     return drop_guard(gated, landed, policy)
 
 
+def by_configuration(responses: DataFrame, boards: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(responses of configured boards, responses of others)."""
+    known = boards.select(*BOARD).distinct()
+    return (
+        responses.join(known, BOARD, "left_semi"),
+        responses.join(known, BOARD, "left_anti"),
+    )
+
+
 def land(
     lake: Lake,
     responses: DataFrame,
@@ -71,11 +80,14 @@ def land(
     extracted_at: Column | None = None,
     allow_mixed: bool = False,
     dates: list[date] | None = None,
+    refuse_strangers: bool = False,
 ) -> DataFrame:
     """Land responses (source, board, snapshot_date, http_status, body); returns the outcomes.
 
-    There must be one response per board and day, of configured boards. With ``dates``, every
-    board is accounted for on each of them: one without a response is recorded as not found.
+    There must be one response per board and day. Responses of boards that are not configured are
+    set aside as they are (``Lake.strangers``) while the rest lands; ``refuse_strangers`` lands
+    nothing then. With ``dates``, every board is accounted for on each of them: one without a
+    response is recorded as not found.
 
     Bodies are parsed once and every item is written once, judged or not. Whether a board's day
     counts is decided afterwards from counts read back from the written items, and recorded last:
@@ -87,16 +99,21 @@ def land(
         others = [r[0] for r in conflicting_modes(lake.attempts(), fetch_mode).collect()]
         if others:
             raise MixedModes(f"{lake.root} already holds {', '.join(sorted(others))} data")
-    strangers = responses.select(*BOARD).distinct().join(boards, BOARD, "left_anti")
-    named = sorted(":".join(r) for r in strangers.limit(10).collect())
-    if named:
+    unknown = responses.select(*BOARD).distinct().join(boards, BOARD, "left_anti")
+    named = sorted(":".join(r) for r in unknown.limit(10).collect())
+    if named and refuse_strangers:
         raise UnknownBoard(f"not configured: {', '.join(named)}")
+    strangers = None
+    if named:
+        responses, strangers = by_configuration(responses, boards)
     repeated = responses.groupBy(*BOARD, "snapshot_date").count().where(F.col("count") > 1)
     if twice := repeated.first():
         raise RepeatedResponse(f"{twice['count']} responses of {twice.source}:{twice.board} on a day")
     if dates:
         responses = with_missing_boards(responses, requested_board_days(boards.select(*BOARD), dates))
     load = lake.claim_load()
+    if strangers is not None:
+        lake.write_strangers(load, strangers)
     lake.write_items(load, parse_responses(responses))
     judged = judge(lake.items_of_load(load), boards, lake.manifests(), policy)
     stamp = noon(F.col("snapshot_date")) if extracted_at is None else extracted_at

@@ -54,6 +54,9 @@ UNPARSED = (
     "company_key string, source string, board string, snapshot_date date, posting_id string, "
     "posting_key string, landing_id string"
 )
+STRANGERS = (
+    "source string, board string, snapshot_date date, http_status int, body string"
+)
 COMMITS = "kind string, number bigint, generation bigint"
 
 
@@ -154,6 +157,13 @@ class Lake:
         """Items of all committed loads."""
         return self._landed(self._read("items", f"{ITEMS}, load bigint"))
 
+    def write_strangers(self, load: int, responses: DataFrame) -> None:
+        self._write(conform(responses, STRANGERS), f"strangers/load={load}")
+
+    def strangers(self) -> DataFrame:
+        """Responses of boards that were not configured, as they came, with their load."""
+        return self._landed(self._read("strangers", f"{STRANGERS}, load bigint"))
+
     def write_attempts(self, load: int, attempts: DataFrame) -> None:
         rows = conform(attempts, ATTEMPTS).drop("load")
         self._write(rows, f"attempts/load={load}")

@@ -28,7 +28,9 @@ def land_new_files(
     """Land and build whatever response files have not been seen yet, then stop.
 
     The query's checkpoint, kept in the lake, remembers the files. A batch that is run again
-    after a failure lands the same content again, which changes nothing.
+    after a failure lands the same content again, which changes nothing. Files of boards that are
+    not configured are set aside; boards without a file on a day of the batch are recorded as not
+    found, which a good snapshot of that day outlives.
     """
     files = (
         lake.spark.readStream.format("text")
@@ -39,7 +41,9 @@ def land_new_files(
 
     def run(batch: DataFrame, _epoch: int) -> None:
         responses = one_per_board_day(responses_from_files(batch))
-        land(lake, responses, boards, policy)
+        # A board whose file is still to come counts as not found until it lands.
+        days = [r[0] for r in responses.select("snapshot_date").distinct().collect()]
+        land(lake, responses, boards, policy, dates=sorted(days))
         build(lake, rules)
 
     return (
