@@ -777,7 +777,7 @@ def quality_suite(spark, sf):
 
 @query(
     "quality_summary",
-    "SELECT CAST(73 AS BIGINT) AS passed, CAST(0 AS BIGINT) AS failed, '' AS failing_checks",
+    "SELECT CAST(81 AS BIGINT) AS passed, CAST(0 AS BIGINT) AS failed, '' AS failing_checks",
 )
 def quality_summary(spark, sf):
     return quality.outcome_summary(quality_suite(spark, sf))

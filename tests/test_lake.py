@@ -11,6 +11,7 @@ from tidelist.operators.gates import Policy
 from tidelist.plans import build as built
 from tidelist.plans import landing
 from tidelist.plans.report import report_frames
+from tidelist.schemas import RULE_TABLES
 from tidelist.sources.lake import Lake
 from tidelist.sources.rules import Rules
 from tidelist.streaming.landing import land_new_files
@@ -118,10 +119,36 @@ def test_skills_survive_double_escaping(full):
 
 def test_standard_checks_pass(full):
     checks = built.check(full).collect()
-    assert len(checks) == 73
+    assert len(checks) == 81
     assert [c.check_name for c in checks if not c.passed] == []
 
 
+def test_planted_defects_of_rules_and_examples_fail(full, spark):
+    rules = Rules()
+    alias = rules.geo_aliases[0]
+    defective = dataclasses.replace(
+        rules,
+        geo_aliases=[*rules.geo_aliases, (alias[0], "planet", *alias[2:])],
+        role_families=rules.role_families[1:],
+        skill_vocabulary=[*rules.skill_vocabulary, ("Odd", None, "odd")],
+    )
+    examples = {
+        "skills": [("we use python", "Python", True), ("none", "Python", True)],
+        "titles": [("Senior Data Engineer", "data_engineering", "senior"), ("Cook", "data_engineering", "senior")],
+        "locations": [("Toronto, CA", None, "France"), ("nowhere", None, "Unknown")],
+    }
+    kinds = dict(zip(examples, ("skill_pattern_cases", "title_classification_cases", "geo_location_cases")))
+    cases = {n: spark.createDataFrame(rows, RULE_TABLES[kinds[n]]) for n, rows in examples.items()}
+    failing = {c.check_name: c.failing_rows for c in built.check(full, defective, examples=cases).collect()}
+    for name in (
+        "geo_aliases_unique_alias", "geo_aliases_kind_accepted", "skill_vocabulary_category_not_null",
+        "examples_of_skills", "examples_of_titles", "examples_of_locations",
+    ):
+        assert failing[name] == 1, name
+    assert failing["role_family_rules_role_family_in_role_families"] > 0
+    assert failing["role_family_rules_unique_priority"] == failing["skill_vocabulary_unique_skill"] == 0
+
+
 def test_report_frames(full):
     frames = {name: df.collect() for name, df in report_frames(full).items()}
     (headline,) = frames["headline"]

@@ -301,6 +301,7 @@ BLANKS = (
 # ---- Fixed values: domains and thresholds ----------------------------------------------------
 
 SOURCES = ["greenhouse", "lever", "ashby"]
+ALIAS_KINDS = ["country", "region", "city"]
 STATUSES = ["ok", "failed", "contract_failed"]
 FETCH_MODES = ["live", "fixture"]
 WORKPLACE_TYPES = ["remote", "hybrid", "onsite", "unknown"]

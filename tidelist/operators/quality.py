@@ -340,12 +340,17 @@ def _count(df: DataFrame, name: str) -> DataFrame:
     )
 
 
-def standard_suite(t: Tables, bounds: dict[str, tuple[int, int]] | None = None) -> DataFrame:
+def standard_suite(
+    t: Tables,
+    bounds: dict[str, tuple[int, int]] | None = None,
+    more: list[DataFrame] | None = None,
+) -> DataFrame:
     """(check_name, failing_rows, passed) for all standard checks, as one lazy frame.
 
-    ``bounds`` replaces entries of ``fixed_values.CHECK_BOUNDS``, for data of another size.
+    ``bounds`` replaces entries of ``fixed_values.CHECK_BOUNDS``, for data of another size;
+    ``more`` adds counts of the same form.
     """
-    parts = []
+    parts = list(more or [])
     for table, conditions in _row_checks({**fixed.CHECK_BOUNDS, **(bounds or {})}).items():
         named = {f"{table}_{name}": condition for name, condition in conditions.items()}
         parts.append(count_failing(getattr(t, table), named))
@@ -367,6 +372,50 @@ def standard_suite(t: Tables, bounds: dict[str, tuple[int, int]] | None = None)
     return with_outcome(reduce(DataFrame.unionByName, parts))
 
 
+def rule_checks(
+    vocabulary: DataFrame, role_rules: DataFrame, role_families: DataFrame, aliases: DataFrame
+) -> list[DataFrame]:
+    """Counts of defects of the rule tables: an alias given twice would multiply locations."""
+    tables = {
+        "skill_vocabulary": (vocabulary, ["skill"]),
+        "role_family_rules": (role_rules, ["priority"]),
+        "role_families": (role_families, ["role_family"]),
+        "geo_aliases": (aliases, ["alias"]),
+    }
+    parts = [
+        _count(duplicate_keys(rows, keys), f"{name}_unique_{keys[0]}")
+        for name, (rows, keys) in tables.items()
+    ]
+    blank = {"pattern_not_null": is_null("pattern"), "category_not_null": is_null("category")}
+    named = {f"skill_vocabulary_{name}": condition for name, condition in blank.items()}
+    return [
+        *parts,
+        count_failing(vocabulary, named),
+        count_failing(
+            aliases, {"geo_aliases_kind_accepted": not_accepted("kind", fixed.ALIAS_KINDS)}
+        ),
+        _count(
+            orphans(role_rules, "role_family", role_families, "role_family"),
+            "role_family_rules_role_family_in_role_families",
+        ),
+    ]
+
+
+def example_checks(
+    examples: dict[str, DataFrame], vocabulary: list[tuple], role_rules: list[tuple], aliases: DataFrame
+) -> list[DataFrame]:
+    """Counts of examples that the rules answer otherwise than stated.
+
+    ``examples`` may hold ``skills``, ``titles`` and ``locations``, tables of the declared cases.
+    """
+    run = {
+        "skills": lambda cases: skill_example_failures(cases, vocabulary),
+        "titles": lambda cases: title_example_failures(cases, role_rules),
+        "locations": lambda cases: location_example_failures(cases, aliases),
+    }
+    return [_count(run[name](cases), f"examples_of_{name}") for name, cases in examples.items()]
+
+
 def with_outcome(counts: DataFrame) -> DataFrame:
     return counts.select(
         "check_name",

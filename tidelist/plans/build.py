@@ -317,11 +317,15 @@ def register_views(lake: Lake) -> list[str]:
 
 
 def check(
-    lake: Lake, rules: Rules | None = None, bounds: dict[str, tuple[int, int]] | None = None
+    lake: Lake,
+    rules: Rules | None = None,
+    bounds: dict[str, tuple[int, int]] | None = None,
+    examples: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
     """(check_name, failing_rows, passed) for the standard quality checks on a built lake.
 
-    ``bounds`` replaces entries of ``fixed_values.CHECK_BOUNDS``.
+    ``bounds`` replaces entries of ``fixed_values.CHECK_BOUNDS``. The rule tables are checked too,
+    and ``examples`` of what they should answer (see ``quality.example_checks``).
     """
     require_built(lake)
     rules = rules or Rules()
@@ -330,6 +334,8 @@ def check(
     postings = one_per_snapshot(normalize(lines))
     classified = classify(postings, rules.role_family_rules)
     t = {name: relation(lake, name) for name in MARTS}
+    frame = lambda name: rules.frame(lake.spark, name)
+    vocabulary, aliases = frame("skill_vocabulary"), frame("geo_aliases")
     return quality.standard_suite(
         quality.Tables(
             lines=lines,
@@ -349,7 +355,15 @@ def check(
             skill_demand=t["mart_skill_demand"],
             remote_share=t["mart_remote_share"],
             entry_level_share=t["mart_entry_level_share"],
-            vocabulary=rules.frame(lake.spark, "skill_vocabulary"),
+            vocabulary=vocabulary,
         ),
         bounds,
+        [
+            *quality.rule_checks(
+                vocabulary, frame("role_family_rules"), frame("role_families"), aliases
+            ),
+            *quality.example_checks(
+                examples or {}, rules.skill_vocabulary, rules.role_family_rules, aliases
+            ),
+        ],
     )
