@@ -1,15 +1,16 @@
 """Token ids of whole texts by the tokenizers library, one encoding per distinct word.
 
 The normaliser and the pre-tokeniser of the vocabulary drop white space and no piece crosses it,
-so the ids of a text are the ids of its words (split at ASCII white space) in a row. A batch is
-split and its distinct words numbered by Arrow; a worker keeps the ids of words it has met and
-asks the library for all new ones at once; numpy then lays the ids of all words in a row.
+nor the place between a letter and an ASCII mark or digit behind it. So the ids of a text are the
+ids of its words (split at ASCII white space and at such places) in a row. A batch is split and
+its distinct words numbered by Arrow; a worker keeps the ids of words it has met and asks the
+library for all new ones at once; numpy then lays the ids of all words in a row.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
-from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -19,18 +20,13 @@ from pyspark.sql import DataFrame
 from tidelist.llm.common import lean
 
 SEPARATOR = "|"  # words that hold it are encoded one by one
-MARKS = b".,;:!?"  # behind a word they are a piece of their own
 KEPT_WORDS = 500_000  # per generation; two generations are kept
 LONGEST_KEPT = 48  # bytes; longer words are encoded each time
 AT_ONCE = 400  # words joined into one string for the library
-
-
-def is_letters(word: bytes) -> bool:
-    """Whether the word is letters alone, and still is when it is normalised and lower-cased."""
-    if word.isascii():
-        return word.isalpha()
-    text = word.decode("utf-8", "replace")
-    return text.isalpha() and normalize("NFC", text).lower().isalpha()
+# Letters of Latin-1: normalising leaves them as they are and each has one lower-case letter. (A
+# letter whose lower case ends in a combining mark would make one piece with a mark behind it.)
+LETTER_AND_MARK = "([A-Za-zÀ-ÖØ-öø-ÿ])([!-@\\[-`{-~])"
+LETTERS = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 
 
 class WordEncoder:
@@ -40,7 +36,7 @@ class WordEncoder:
         from tokenizers import Tokenizer, normalizers
 
         self.tokenizer = Tokenizer.from_buffer(definition)
-        self.plain = Tokenizer.from_buffer(definition)  # for words in lower-case ASCII
+        self.plain = Tokenizer.from_buffer(definition)  # for lower-case letters of Latin-1
         self.plain.normalizer = normalizers.Sequence([])
         vocabulary = self.tokenizer.get_vocab()
         self.dtype = np.dtype("<u2" if max(vocabulary.values()) < 1 << 16 else "<u4")
@@ -52,85 +48,65 @@ class WordEncoder:
         self.old: dict[bytes, bytes] = {}
 
     def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def _alone(self, word: bytes) -> bytes:
         return np.asarray(self._ids(word.decode("utf-8", "replace")), self.dtype).tobytes()
 
-    def _joined(self, words: list[bytes], glue: str, by) -> dict[bytes, bytes]:
-        """Ids of several words from one call, cut behind pieces' ends or at the separator."""
-        found = {}
+    def _joined(self, words: list[bytes], letters: bool) -> Iterator[bytes]:
+        """Ids of words in a row, many from one call, cut behind pieces' ends or at the separator."""
+        by = self.plain if letters else self.tokenizer
+        glue = b" " if letters else f" {SEPARATOR} ".encode()
+        width = self.dtype.itemsize
         for i in range(0, len(words), AT_ONCE):
             some = words[i : i + AT_ONCE]
-            text = glue.join([w.decode("utf-8", "replace") for w in some])
-            ids = np.asarray(by.encode(text, add_special_tokens=False).ids, self.dtype)
-            cuts = np.flatnonzero(self.closing[ids] if glue == " " else ids == self.separator)
-            if glue == " ":
+            text = glue.join(some).decode("utf-8", "replace")
+            found = by.encode_batch_fast([text.lower() if letters else text], add_special_tokens=False)
+            ids = np.asarray(found[0].ids, self.dtype)
+            cuts = np.flatnonzero(self.closing[ids] if letters else ids == self.separator)
+            if letters:
                 starts, ends = np.concatenate([[0], cuts[:-1] + 1]), cuts + 1
             else:
                 starts, ends = np.concatenate([[0], cuts + 1]), np.concatenate([cuts, [len(ids)]])
             if len(starts) != len(some) or (len(ends) and ends[-1] != len(ids)):
-                found.update((w, self._alone(w)) for w in some)
+                yield from map(self._alone, some)
                 continue
-            raw, width = ids.tobytes(), self.dtype.itemsize
-            cut = zip((starts * width).tolist(), (ends * width).tolist())
-            found.update(zip(some, [raw[a:b] for a, b in cut]))
-        return found
+            raw = ids.tobytes()
+            yield from [raw[a:b] for a, b in zip((starts * width).tolist(), (ends * width).tolist())]
 
     def _learn(self, new: list[bytes]) -> dict[bytes, bytes]:
         """Ids of words that are not in the young generation; short ones are kept."""
         if len(self.young) > KEPT_WORDS:
             self.old, self.young = self.young, {}
-        known = self.old.get
-        found: dict[bytes, bytes] = {}
-        marked: list[tuple[bytes, bytes, bytes]] = []
-        ascii_words, letters, mixed = set(), set(), set()
-
-        def sort_out(word: bytes) -> None:
-            if (ids := known(word)) is not None:
-                found[word] = ids
-            elif len(word) > LONGEST_KEPT or self.separator is None or b"|" in word:
-                found[word] = self._alone(word)
-            elif not is_letters(word):
-                mixed.add(word)
-            elif word.isascii():
-                ascii_words.add(word)
-            else:
-                letters.add(word)
-
+        found = {w: ids for w in new if (ids := self.old.get(w)) is not None} if self.old else {}
+        letters, mixed, alone = [], [], []
         for word in new:
-            head = word.rstrip(MARKS)
-            if len(head) < len(word) and is_letters(head):
-                tail = word[len(head) :]
-                marked.append((word, head, tail))
-                for part in (head, tail):
-                    if part not in found:
-                        if (ids := self.young.get(part)) is not None:
-                            found[part] = ids
-                        else:
-                            sort_out(part)
+            if word in found:
+                continue
+            if len(word) > LONGEST_KEPT or self.separator is None or b"|" in word:
+                alone.append(word)
+            elif LETTERS.fullmatch(word):
+                letters.append(word)
             else:
-                sort_out(word)
-        lower = {w: w.lower() for w in ascii_words}
-        plain = self._joined(list(set(lower.values())), " ", self.plain)
-        found.update((w, plain[x]) for w, x in lower.items())
-        found.update(self._joined(list(letters), " ", self.tokenizer))
-        found.update(self._joined(list(mixed), f" {SEPARATOR} ", self.tokenizer))
-        for word, head, tail in marked:
-            found[word] = found[head] + found[tail]
-        self.young.update((w, ids) for w, ids in found.items() if len(w) <= LONGEST_KEPT)
-        return found
+                mixed.append(word)
+        found.update(zip(letters, self._joined(letters, True)))
+        found.update(zip(mixed, self._joined(mixed, False)))
+        self.young.update(found)
+        once = {w: self._alone(w) for w in alone}
+        self.young.update((w, ids) for w, ids in once.items() if len(w) <= LONGEST_KEPT)
+        return found | once
 
     def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, where each text's ids begin and end) of an Arrow column.
 
         A null text has no ids.
         """
-        split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        apart = pc.replace_substring_regex(pc.fill_null(texts, ""), LETTER_AND_MARK, r"\1 \2")
+        split = pc.ascii_split_whitespace(apart)
         bounds = split.offsets.to_numpy()
-        coded = split.values.slice(bounds[0], bounds[-1] - bounds[0]).cast(pa.binary()).dictionary_encode()
+        coded = split.values.slice(bounds[0], bounds[-1] - bounds[0]).dictionary_encode()
         bounds = bounds - bounds[0]
-        words = coded.dictionary.to_pylist()
+        words = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
         ids = list(map(self.young.get, words))
         if None in ids:
             learnt = self._learn([w for w, i in zip(words, ids) if i is None and w])
