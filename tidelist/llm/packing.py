@@ -176,7 +176,9 @@ class Shard:
     def scores(self, seed: int) -> np.ndarray:
         """The BM25 score of every document of the index, by all ids of the seed."""
         row = self.row[self.queries[seed]]
-        score = np.add.reduce(self.rows[row[row >= 0]], axis=0).astype(np.float64)
+        held = np.zeros(len(self.rows), np.float32)
+        held[row[row >= 0]] = 1
+        score = (held @ self.rows).astype(np.float64)
         spans = [slice(self.start[t], self.start[t + 1]) for t in self.queries[seed][row < 0].tolist()]
         if spans:
             score += np.bincount(
