@@ -25,7 +25,7 @@ LONGEST_KEPT = 48  # bytes; longer words are encoded each time
 AT_ONCE = 400  # words joined into one string for the library
 # Letters of Latin-1: normalising leaves them as they are and each has one lower-case letter. (A
 # letter whose lower case ends in a combining mark would make one piece with a mark behind it.)
-LETTER_AND_MARK = "([A-Za-zÀ-ÖØ-öø-ÿ])([!-@\\[-`{-~])"
+LETTER = "[A-Za-zÀ-ÖØ-öø-ÿ]"
 LETTERS = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 
 
@@ -41,6 +41,11 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab()
         self.dtype = np.dtype("<u2" if max(vocabulary.values()) < 1 << 16 else "<u4")
         alone = self._ids(SEPARATOR)
+        # What follows a letter within an added token, as in <|end|>, does not end a word.
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        inner = {b for t in added for a, b in zip(t, t[1:]) if a.isalpha()}
+        marks = [c for c in map(chr, range(33, 127)) if not c.isalpha() and c not in inner]
+        self.ending = f"({LETTER})([{''.join(map(re.escape, marks))}])"
         self.separator = alone[0] if len(alone) == 1 else None
         self.closing = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a piece
         self.closing[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
@@ -101,7 +106,7 @@ class WordEncoder:
 
         A null text has no ids.
         """
-        apart = pc.replace_substring_regex(pc.fill_null(texts, ""), LETTER_AND_MARK, r"\1 \2")
+        apart = pc.replace_substring_regex(pc.fill_null(texts, ""), self.ending, r"\1 \2")
         split = pc.ascii_split_whitespace(apart)
         bounds = split.offsets.to_numpy()
         coded = split.values.slice(bounds[0], bounds[-1] - bounds[0]).dictionary_encode()
