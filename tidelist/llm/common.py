@@ -54,6 +54,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that :func:`written` gave, once whatever was made of them is written itself."""
+    for table in tables:
+        spark = table.sparkSession
+        for folder in {name.rsplit("/", 1)[0] for name in table.inputFiles()}:
+            if folder.rsplit("/", 1)[1].startswith("llm-"):
+                path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folder))
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def spread(rows: DataFrame, *columns: str) -> DataFrame:
     """Small rows that stand for much work (files, blocks) over about as many tasks as rows.
 

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelist.llm import words
-from tidelist.llm.common import lean, mix64, written
+from tidelist.llm.common import discard, lean, mix64, written
 from tidelist.llm.components import components
 
 SHINGLE = 5
@@ -313,7 +313,9 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, threshold: int = THRES
         )
 
     sets = _sets(docs, shared.select(F.col("rep").alias("id")).distinct(), size)
-    stars = written(_confirmed(written(likely(proposed), "pairs"), sets, threshold), "links")
+    pairs = written(likely(proposed), "pairs")
+    stars = written(_confirmed(pairs, sets, threshold), "links")
+    discard(pairs)
     reached = components(stars)
 
     members = (
@@ -322,12 +324,15 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, threshold: int = THRES
         .withColumn("component", F.coalesce("component", "rep"))
     )
     open_ = written(_open(members), "open")
+    discard(shared)
     if not open_.isEmpty():
         signed_sets = sets.select(F.col("id").alias("rep"), "n", "fine")
         compared = open_.join(signed_sets, "rep").join(classes.select("rep", "bands"), "rep")
         left = written(_within_buckets(compared, threshold), "pairs")
-        more = _confirmed(left, sets, threshold)
+        more = written(_confirmed(left, sets, threshold), "links")
+        discard(left)
         reached = components(stars.unionByName(more))
+    discard(sets, open_)
 
     of_set = (
         classes.select("set_key", "rep")

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelist.llm import words
-from tidelist.llm.common import byte_texts, fresh, lean, mix64, written
+from tidelist.llm.common import byte_texts, discard, fresh, lean, mix64, written
 
 LENGTH = 50
 SEED = 25
@@ -135,10 +135,13 @@ class Repeats:
         docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         profiles = written(_profiles(docs, length), "profiles")
         firsts = profiles.groupBy("words_sha256").agg(F.min("doc_id").alias("first"))
-        placed = profiles.join(firsts, "words_sha256")
+        placed = profiles.select("doc_id", "n_words", "words_sha256").join(firsts, "words_sha256")
         self.whole = written(placed.select("doc_id", "n_words", "words_sha256", "first"), "whole")
-        own = placed.where(F.col("doc_id") == F.col("first"))
-        seeds = written(own.select("doc_id", F.explode("anchors").alias("anchor")), "anchors")
+        # Lists of anchors travel by document, not by digest, so copies do not meet in one task.
+        own = self.whole.where(F.col("doc_id") == F.col("first")).select("doc_id")
+        listed = profiles.select("doc_id", "anchors").join(own, "doc_id", "left_semi")
+        seeds = written(listed.select("doc_id", F.explode("anchors").alias("anchor")), "anchors")
+        discard(profiles)
         shared = (
             seeds.groupBy("anchor")
             .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
@@ -152,6 +155,7 @@ class Repeats:
             .agg(F.collect_set("anchor").alias("anchors"))
         )
         suspects = written(docs.join(listed, "doc_id"), "suspects")
+        discard(seeds)
         found = written(_windows(suspects, length), "windows")
         earliest = (
             found.groupBy("anchor", "window")
@@ -159,12 +163,13 @@ class Repeats:
             .where(F.col("low") < F.col("high"))
             .drop("high")
         )
-        self.starts = (
-            found.join(earliest, ["anchor", "window"])
-            .where(F.col("low") < F.col("doc_id"))
-            .groupBy("doc_id")
-            .agg(F.collect_set("start").alias("starts"))
-        )
+        # Written by itself, so that both sides of the join are plain exchanges, which adaptive
+        # execution splits where one window is very common.
+        earliest = written(earliest, "earliest")
+        later = found.join(earliest, ["anchor", "window"]).where(F.col("low") < F.col("doc_id"))
+        starts = later.groupBy("doc_id").agg(F.collect_set("start").alias("starts"))
+        self.starts = written(starts, "starts")
+        discard(found, earliest)
         self.suspects = suspects.select("doc_id", "text")
 
     def _is_copy(self):
