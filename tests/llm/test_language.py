@@ -87,6 +87,21 @@ def test_nothing_to_learn(spark):
 
 
 def test_bounded_sample(spark):
-    rows = frame(spark, [(i, f"text number {i}", "en") for i in range(300)] + [(900, "y" * 30_000, "fr")])
-    model = langid.train(rows, texts=20)
-    assert model.classes == ["en"]
+    rows = frame(spark, [(i, f"text number {i}", "en") for i in range(300)])
+    assert langid.train(rows, texts=20).classes == ["en"]
+    samples = langid._sample(rows, 20, 1000)
+    assert {lang: len(texts) for lang, texts in samples.items()} == {"en": 20}
+
+
+def test_languages_of_long_texts_are_learned(spark):
+    short = [(i, f"text number {i}", "en") for i in range(30)]
+    longer = [(100 + k, "y" * (300 + k), "en") for k in range(5)] + [(200, "z" * 150, "es")]
+    longer += [(300 + k, f"{k}" * (400 + 100 * k), "fr") for k in range(9)] + [(400, "é" * 5000, "pt")]
+    longer += [(401, "é" * 6000, "pt"), (500, None, "it"), (501, "", "it"), (502, "w" * 2000, "de")]
+    samples = langid._sample(frame(spark, short + longer), 20, 100)  # 2,000 bytes per language
+    assert len(samples.pop("en")) == 20
+    assert sorted(map(len, samples["fr"])) == [400, 500, 600]  # the next one would go beyond
+    assert [len(t) for t in samples["es"]] == [150]
+    assert [len(t) for t in samples["de"]] == [2000]
+    assert samples["pt"] == ["é".encode() * 500]
+    assert set(samples) == {"de", "es", "fr", "pt"}

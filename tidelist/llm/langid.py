@@ -20,7 +20,7 @@ from tidelist.llm.markov import Model, fit
 
 UNKNOWN = "und"
 SAMPLE_TEXTS = 400  # of each language at most, chosen by hash
-SAMPLE_BYTES = 20_000  # longer texts are not chosen for the sample
+SAMPLE_BYTES = 20_000  # longer texts are sampled only of languages with too few others
 ORDER = 3  # longest context, in bytes
 COST_QUANTILE, COST_MARGIN = 0.995, 1.5
 UNEXPLAINED = 8.0  # bits of a byte without a model
@@ -34,25 +34,38 @@ def held_out() -> Column:
 
 
 def _sample(labelled: DataFrame, texts: int, longest: int) -> dict[str, list[bytes]]:
-    """At most ``texts`` different texts of each language, chosen and ordered by their hashes."""
-    usable = labelled.where(
-        F.col("lang").isNotNull() & F.octet_length("text").between(1, longest)
-    ).select("lang", "text", F.xxhash64("text").alias("h"))
-    hashes = written(usable.select("lang", "h").distinct(), "hashes")
-    smallest = hashes.groupBy("lang").agg(F.count("*").alias("n"))
-    limits = {}
-    for row in smallest.collect():  # one row per language
-        own = hashes.where(F.col("lang") == row["lang"])
-        if row["n"] <= texts:
-            limits[row["lang"]] = (1 << 63) - 1
-        else:
-            limits[row["lang"]] = own.orderBy("h").limit(texts).agg(F.max("h")).first()[0]
-    if not limits:
-        return {}
+    """At most ``texts`` different texts of each language, in order of their hashes.
+
+    Texts of up to ``longest`` bytes are chosen by hash. Where a language has too few of them, its
+    next longer texts join, as long as all of its sample has at most ``texts * longest`` bytes. Of
+    a language whose shortest text is beyond that, only as much of this text as fits is sampled.
+    """
+    budget = texts * longest
+    size = F.octet_length("text")
+    usable = labelled.where(F.col("lang").isNotNull() & (size > 0)).select(
+        "lang", "text", size.alias("size"), F.xxhash64("text").alias("h")
+    )
+    hashes = written(usable.select("lang", "h", "size").distinct(), "hashes")
+    short = F.col("size") <= longest
+    counted = hashes.groupBy("lang").agg(
+        F.count_if(short).alias("n"), F.count_if(~short).alias("long"), F.sum(F.when(short, F.col("size"))).alias("bytes")
+    )
     chosen = F.lit(False)
-    for lang, limit in limits.items():
-        chosen = chosen | ((F.col("lang") == lang) & (F.col("h") <= limit))
-    rows = usable.where(chosen).dropDuplicates(["lang", "h"]).collect()
+    for row in counted.collect():  # one row per language
+        own = hashes.where(F.col("lang") == row["lang"])
+        taken = short
+        if row["n"] > texts:
+            taken = short & (F.col("h") <= own.where(short).orderBy("h").limit(texts).agg(F.max("h")).first()[0])
+        elif row["n"] < texts and row["long"]:
+            room, more = budget - (row["bytes"] or 0), []
+            for r in own.where(~short).orderBy("size", "h").limit(texts - row["n"]).collect():
+                room -= r["size"]
+                if room >= 0 or not (row["n"] or more):
+                    more.append(r["h"])
+            taken = short | F.col("h").isin(more)
+        chosen = chosen | ((F.col("lang") == row["lang"]) & taken)
+    fitting = F.when(F.col("size") <= budget, F.col("text")).otherwise(F.left("text", F.lit(max(budget // 4, 1))))
+    rows = usable.where(chosen).dropDuplicates(["lang", "h"]).select("lang", "h", fitting.alias("text")).collect()
     samples: dict[str, list[bytes]] = {}
     for row in sorted(rows, key=lambda r: (r["lang"], r["h"])):
         samples.setdefault(row["lang"], []).append(row["text"].encode())
@@ -67,9 +80,11 @@ def train(
 ) -> Model | None:
     """A model from (text, lang): a sample of at most ``texts`` different texts per language.
 
-    Rows with a null text or lang are left out, and texts of over ``longest`` bytes. The sample
-    is chosen by the texts' hashes, so it does not depend on order, partitions or ids. None if no
-    text is left. The driver gets the sample only, of a number of languages that is small.
+    Rows with a null or empty text or without lang are left out. Every language that is left is
+    learned: texts of over ``longest`` bytes are sampled where it has too few others. The sample
+    is chosen by the texts' sizes and hashes, so it does not depend on order, partitions or ids.
+    None if no text is left. The driver gets the sample only, at most ``texts * longest`` bytes
+    of each language, of a number of languages that is small.
     """
     samples = _sample(labelled, texts, longest)
     return fit(samples, order) if samples else None
