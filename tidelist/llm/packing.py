@@ -58,9 +58,10 @@ class Likeness:
 
     def vectors(self, docs: list[np.ndarray]) -> np.ndarray:
         out = np.zeros((len(docs), AXES), np.float32)
+        rows = np.empty_like(self.axes)  # kept, as new memory for every document costs more than filling it
         for i, ids in enumerate(docs):
             term, impact = _impacts(ids, self.idf, self.mean_length)
-            vector = impact @ self.axes[term]
+            vector = impact @ np.take(self.axes, term, axis=0, out=rows[: len(term)], mode="clip")
             out[i] = vector / max(float(np.linalg.norm(vector)), 1e-9)
         return out
 
@@ -263,12 +264,14 @@ def document_frequencies(tokens: DataFrame, dtype: str) -> DataFrame:
 
     @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
+        total = np.zeros(np.iinfo(np.uint16).max + 1, np.int64)
         for batch in batches:
-            found = [_terms(np.frombuffer(x, dtype)[:-1])[0] for x in batch.column(0).to_pylist() if len(x) > 4]
-            here = np.bincount(np.concatenate(found) if found else np.zeros(0, np.int64), minlength=len(total))
-            here[: len(total)] += total
-            total = here
+            for raw in batch.column(0).to_pylist():
+                ids = np.frombuffer(raw, dtype)[:-1]
+                if len(ids):
+                    if (highest := int(ids.max())) >= len(total):
+                        total = np.append(total, np.zeros(highest + 1 - len(total), np.int64))
+                    total[ids] += 1  # once for each distinct id
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["id", "n"])
 
