@@ -12,12 +12,20 @@ classes, and put into hash tables that numpy probes for a whole batch of texts.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidelist.llm.common import batches as arrow_batches
+from tidelist.llm.common import byte_texts, lean
 
 START = 10  # texts are read as if line ends stood before them
 BYTES_AT_ONCE = 1 << 20
+GRAMS_HELD = 1 << 21  # by a task that counts, before it passes them on
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -131,23 +139,101 @@ class Model:
         return sums[end] - sums[begin]
 
 
+def _pieces(texts: list[bytes], order: int) -> Iterator[list[bytes]]:
+    """Texts, long ones in pieces, each after the ``order`` bytes before it; some at a time."""
+    lead = bytes([START]) * order
+    group: list[bytes] = []
+    held = 0
+    for text in texts:
+        for part in range(0, len(text), BYTES_AT_ONCE):
+            before = (lead + text[max(part - order, 0) : part])[-order:] if order else b""
+            group.append(before + text[part : part + BYTES_AT_ONCE])
+            held += len(group[-1])
+            if held >= BYTES_AT_ONCE:
+                yield group
+                group, held = [], 0
+    if group:
+        yield group
+
+
+def _merged(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """One count per key, keys ascending."""
+    keys, of = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
+    counts = np.zeros(len(keys), np.int64)
+    np.add.at(counts, of, np.concatenate([n for _, n in found]))
+    return keys, counts
+
+
+def tally(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
+    """The grams of ``order + 1`` bytes that end at the bytes of the texts, and how many of each."""
+    found = [(grams(np.zeros(0, np.uint8), order + 1), np.zeros(0, np.int64))]
+    for pieces in _pieces(texts, order):
+        data = np.frombuffer(b"".join(pieces), np.uint8)
+        counted = np.ones(len(data), bool)
+        starts = np.cumsum([0] + [len(p) for p in pieces[:-1]])
+        for back in range(order):
+            counted[starts + back] = False
+        found.append(np.unique(grams(data, order + 1)[counted], return_counts=True))
+    return _merged(found)
+
+
+def learnt(texts: DataFrame, order: int, classes: list[str] | None = None) -> Model | None:
+    """A model from all rows of (kind, text), neither null; None if there is no byte to learn from.
+
+    Grams are counted where texts are read and summed by Spark. The driver gets each different
+    gram of a class once: their number follows the alphabets, not the number of texts.
+    """
+
+    @lean
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("kind", pa.string()), ("gram", pa.int64()), ("n", pa.int64())])
+        held: dict[str, list] = {}
+
+        def passed_on() -> Iterator[pa.RecordBatch]:
+            for kind, (keys, counts) in held.items():
+                for i in range(0, len(keys), 1 << 16):
+                    part = keys[i : i + (1 << 16)].astype(np.uint64).view(np.int64)
+                    rows = {"kind": [kind] * len(part), "gram": part, "n": counts[i : i + (1 << 16)]}
+                    yield from arrow_batches(rows, schema)
+            held.clear()
+
+        for batch in batches:
+            of: dict[str, list[bytes]] = {}
+            for kind, text in zip(batch.column(0).to_pylist(), byte_texts(batch.column(1))):
+                of.setdefault(kind, []).append(text)
+            for kind, own in of.items():
+                found = tally(own, order)
+                held[kind] = _merged([held[kind], found]) if kind in held else found
+            if sum(len(keys) for keys, _ in held.values()) > GRAMS_HELD:
+                yield from passed_on()
+        yield from passed_on()
+
+    counted = texts.select("kind", "text").mapInArrow(count, "kind string, gram long, n long")
+    table = counted.groupBy("kind", "gram").agg(F.sum("n").alias("n")).toArrow()
+    if not table.num_rows:
+        return None
+    names = np.array(table["kind"].to_pylist())
+    keys = table["gram"].to_numpy().view(np.uint64).astype(grams(np.zeros(0, np.uint8), order + 1).dtype)
+    counts = table["n"].to_numpy()
+    kinds = sorted(set(classes) if classes else set(names.tolist()))
+    return fit_counts({k: (keys[names == k], counts[names == k]) for k in kinds}, order)
+
+
 def fit(samples: dict, order: int) -> Model:
     """A model of each class from its sample texts (bytes), in the order of the classes."""
-    classes = sorted(samples)
-    laid = []
-    for name in classes:
-        data, begin, end = laid_out(samples[name], order)
-        counted = np.zeros(len(data), bool)
-        for a, b in zip(begin.tolist(), end.tolist()):
-            counted[a:b] = True
-        laid.append((grams(data, order + 1), counted))
+    return fit_counts({name: tally(texts, order) for name, texts in samples.items()}, order)
+
+
+def fit_counts(counts: dict, order: int) -> Model:
+    """A model of each class from its grams of ``order + 1`` bytes and their counts."""
+    classes = sorted(counts)
     model = Model(classes, order, [], [], [], [])
     shorter_keys, shorter_cost = None, np.full((1, len(classes)), 8.0)
     for size in range(1, order + 2):
         seen = []
-        for key, counted in laid:
-            own = key[counted] & key.dtype.type((1 << 8 * size) - 1)
-            seen.append(np.unique(own, return_counts=True))
+        for name in classes:
+            key, times = counts[name]
+            seen.append(_merged([(key & key.dtype.type((1 << 8 * size) - 1), times)]))
         keys = np.unique(np.concatenate([k for k, _ in seen]))
         count = np.zeros((len(keys), len(classes)))
         for c, (k, n) in enumerate(seen):
