@@ -105,3 +105,24 @@ def test_languages_of_long_texts_are_learned(spark):
     assert [len(t) for t in samples["de"]] == [2000]
     assert samples["pt"] == ["é".encode() * 500]
     assert set(samples) == {"de", "es", "fr", "pt"}
+
+
+def test_every_labelled_text_is_learned(spark):
+    rows = [(i, f"text number {i}", "en") for i in range(600)] + [(i, f"texte numéro {i}", "fr") for i in range(9)]
+    rows += [(700, "q" * 3000, "en"), (701, "q" * 3000, "en"), (702, None, "en"), (703, "x", None)]
+    model = langid.train(frame(spark, rows).repartition(3))
+    samples = {lang: [t.encode() for t in {t for _, t, x in rows if t and x == lang}] for lang in ("en", "fr")}
+    texts = [b"text number 77", "numéro 599 q".encode(), b"qqqq"]
+    assert model.classes == ["en", "fr"]
+    assert np.array_equal(model.bits(texts), markov.fit(samples, langid.ORDER).bits(texts))
+
+
+def test_the_limit_is_of_all_held_out_texts(spark):
+    model = markov.fit({"en": [f"text number {i}".encode() for i in range(90)]}, langid.ORDER)
+    plain = [f"text number {i}" for i in range(500)]
+    dear = [f"{'zwxq jv' * 3000} {k}" for k in range(5)]  # 1%, all longer than a sample of 400 would take
+    rows = [(i, t, "en") for i, t in enumerate(plain + dear + dear + ["12 34", ""])]
+    costs = [model.bits([t.encode()]).min() / len(t) for t in plain + dear]
+    expected = langid.COST_MARGIN * np.quantile(costs, langid.COST_QUANTILE, method="inverted_cdf")
+    assert abs(langid.cost_limit(frame(spark, rows), model) - expected) < 2 * langid.COST_MARGIN / langid.COST_GRID
+    assert langid.cost_limit(frame(spark, [(1, None, "en"), (2, "12", "en")]), model) == langid.UNEXPLAINED

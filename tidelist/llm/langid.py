@@ -1,12 +1,11 @@
 """Language identification by prediction by partial matching.
 
-One byte context tree per language, fitted on a bounded sample of labelled texts and frozen; a
-text gets the language whose tree codes it in the fewest bits. Every text is coded whole.
+One byte context tree per language, fitted on all labelled texts and frozen; a text gets the
+language whose tree codes it in the fewest bits. Every text is coded whole.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,15 +15,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelist.llm.common import byte_texts, lean, written
-from tidelist.llm.markov import Model, fit
+from tidelist.llm.markov import Model, fit, learnt
 
 UNKNOWN = "und"
-SAMPLE_TEXTS = 400  # of each language at most, chosen by hash
-SAMPLE_BYTES = 20_000  # longer texts are sampled only of languages with too few others
+SAMPLE_BYTES = 20_000  # where a sample is asked for: longer texts only of languages with too few others
 ORDER = 3  # longest context, in bytes
 COST_QUANTILE, COST_MARGIN = 0.995, 1.5
 UNEXPLAINED = 8.0  # bits of a byte without a model
-LETTER = re.compile(r"[^\W\d_]")
+COST_GRID = 1024  # costs are counted by this part of a bit
 
 
 def held_out() -> Column:
@@ -72,36 +70,52 @@ def _sample(labelled: DataFrame, texts: int, longest: int) -> dict[str, list[byt
     return samples
 
 
+def _different(labelled: DataFrame) -> DataFrame:
+    """(lang, text, h): every different text of a language once."""
+    usable = labelled.where(F.col("lang").isNotNull() & (F.octet_length("text") > 0))
+    return usable.select("lang", "text", F.xxhash64("text").alias("h"))
+
+
 def train(
     labelled: DataFrame,
-    texts: int = SAMPLE_TEXTS,
+    texts: int | None = None,
     longest: int = SAMPLE_BYTES,
     order: int = ORDER,
 ) -> Model | None:
-    """A model from (text, lang): a sample of at most ``texts`` different texts per language.
+    """A model from (text, lang): of all different texts of every language.
+
+    Rows with a null or empty text or without lang are left out. None if no text is left. Spark
+    counts; the driver gets counts of grams.
 
-    Rows with a null or empty text or without lang are left out. Every language that is left is
-    learned: texts of over ``longest`` bytes are sampled where it has too few others. The sample
-    is chosen by the texts' sizes and hashes, so it does not depend on order, partitions or ids.
-    None if no text is left. The driver gets the sample only, at most ``texts * longest`` bytes
-    of each language, of a number of languages that is small.
+    A caller who wants a smaller job gives a number of ``texts``: of each language at most so many
+    are fitted then, chosen by sizes and hashes; those of over ``longest`` bytes where a language
+    has too few others. The driver gets ``texts * longest`` bytes of each language at most.
     """
+    if texts is None:
+        different = _different(labelled).dropDuplicates(["lang", "h"])
+        return learnt(different.select(F.col("lang").alias("kind"), "text"), order)
     samples = _sample(labelled, texts, longest)
     return fit(samples, order) if samples else None
 
 
-def cost_limit(unfitted: DataFrame, model: Model, texts: int = SAMPLE_TEXTS, longest: int = SAMPLE_BYTES) -> float:
+def cost_limit(unfitted: DataFrame, model: Model) -> float:
     """Bits per byte above which no language of the model explains a text.
 
-    From (text, lang) that the model was not fitted on, sampled as for fitting: half more than all
+    From all different texts of (text, lang) that the model was not fitted on: half more than all
     but the dearest cost, so that a few foreign texts among the labelled do not set the limit.
+    Costs are counted on a grid of 1 / COST_GRID bits, of which the driver gets the counts.
     Without such texts, what a byte costs of which nothing is known.
     """
-    held = [t for own in _sample(unfitted, texts, longest).values() for t in own if LETTER.search(t.decode())]
-    if not held:
+    judged = predicted(_different(unfitted), model, cost="cost").where(F.col("lang_pred") != UNKNOWN)
+    step = F.ceil(F.col("cost") * COST_GRID)
+    once = judged.groupBy("lang", "h").agg(F.min(step).alias("step"))
+    rows = sorted(once.groupBy("step").count().collect())
+    if not rows:
         return UNEXPLAINED
-    bits = model.bits(held).min(axis=1) / [len(t) for t in held]
-    return COST_MARGIN * float(np.quantile(bits, COST_QUANTILE))
+    steps, counts = zip(*rows)
+    upto = np.cumsum(counts)
+    at = int(np.searchsorted(upto, COST_QUANTILE * upto[-1]))
+    return COST_MARGIN * steps[at] / COST_GRID
 
 
 def predicted(
