@@ -21,7 +21,7 @@ from tidelist.operators.normalize import classify, normalize, one_per_snapshot
 from tidelist.plans import build as built
 from tidelist.plans.build import build
 from tidelist.plans.landing import land
-from tidelist.session import configure, shared_folder
+from tidelist.session import bound_broadcasts, shared_folder
 from tidelist.sources.lake import Lake
 from tidelist.sources.rules import Rules
 
@@ -36,7 +36,7 @@ def query(name: str, sql: str | None = None):
 
     def register(build: Callable[[SparkSession, str], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return build(configure(spark), sf_dir)
+            return build(bound_broadcasts(spark), sf_dir)
 
         QUERIES[name] = run
         if sql is not None:

@@ -33,7 +33,7 @@ from tidelist.operators.normalize import (
 )
 from tidelist.operators.skills import bridge_of_tagged, skill_bridge, tagged_observations
 from tidelist.schemas import ATTEMPTS, DAILY, columns_of, conform
-from tidelist.session import configure
+from tidelist.session import bound_broadcasts
 from tidelist.sources.lake import (
     DAILY_LOG,
     OBSERVATIONS,
@@ -113,7 +113,7 @@ def build(lake: Lake, rules: Rules | None = None, full_refresh: bool = False) ->
     so the result does not depend on the order in which days arrived. A full refresh starts an
     empty generation of the stored facts.
     """
-    configure(lake.spark)
+    bound_broadcasts(lake.spark)
     rules = rules or Rules()
     lake.reopen()
     number, generation = lake.last_commit("build")

@@ -22,7 +22,7 @@ from tidelist.operators.manifests import (
     landing_summary,
     withdrawal,
 )
-from tidelist.session import configure
+from tidelist.session import bound_broadcasts
 from tidelist.sources.lake import Lake
 from tidelist.sources.responses import requested_board_days, with_missing_boards
 
@@ -93,7 +93,7 @@ def land(
     counts is decided afterwards from counts read back from the written items, and recorded last:
     items without a committed attempt are invisible.
     """
-    configure(lake.spark)
+    bound_broadcasts(lake.spark)
     lake.reopen()
     if not allow_mixed:
         others = [r[0] for r in conflicting_modes(lake.attempts(), fetch_mode).collect()]
@@ -132,7 +132,7 @@ def summary(lake: Lake, load: int) -> DataFrame:
 
 def invalidate(lake: Lake, company_key: str, snapshot_date: date, reason: str) -> None:
     """Withdraw a landed day; the items stay as evidence, the day stops counting."""
-    configure(lake.spark)
+    bound_broadcasts(lake.spark)
     load = lake.claim_load()
     event = withdrawal(lake.manifests(), company_key, snapshot_date, reason).withColumn(
         "load", F.lit(load).cast("bigint")

@@ -14,6 +14,14 @@ RUNTIME = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
 
+# For joins of listings: logs and manifests of boards grow with the boards, and their files are so
+# well packed that a file of some MB makes a broadcast of hundreds, through the driver. From files
+# only tiny tables are broadcast at once; others once adaptive execution knows their rows' size.
+JOINS = {
+    "spark.sql.autoBroadcastJoinThreshold": 64 << 10,
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": 256 << 10,
+}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings (UTC above all: days and weeks are UTC days and weeks)."""
@@ -23,6 +31,15 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def bound_broadcasts(spark: SparkSession) -> SparkSession:
+    """Runtime settings, and what a join may broadcast bounded, whatever the tables' growth."""
+    configure(spark)
+    for key, most in JOINS.items():
+        if spark.conf.get(key, None) != str(most):
+            spark.conf.set(key, str(most))
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, for tables that cut lineage.
 
