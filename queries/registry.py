@@ -257,6 +257,12 @@ _LAKES: dict[tuple[str, str], Lake] = {}
 FIRST_LOAD_UNTIL = date(2024, 1, 15)
 
 
+def _kept(df: DataFrame, folder: str) -> DataFrame:
+    """The rows, written and read again."""
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def lake(spark: SparkSession, sf_dir: str) -> Lake:
     """The derived responses, landed and built in two steps, once per session and data set.
 
@@ -266,8 +272,9 @@ def lake(spark: SparkSession, sf_dir: str) -> Lake:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LAKES:
         made = Lake(spark, f"{shared_folder(spark)}/tidelist-{uuid4().hex}")
-        responses = derived_responses(spark, sf_dir)
-        boards = derived_boards(spark, sf_dir)
+        # Every step of both landings reads them: they are derived once.
+        responses = _kept(derived_responses(spark, sf_dir), f"{made.root}-responses")
+        boards = _kept(derived_boards(spark, sf_dir), f"{made.root}-boards")
         early = F.col("snapshot_date") <= F.lit(FIRST_LOAD_UNTIL)
         for part in (responses.where(early), responses.where(~early)):
             days = sorted(r[0] for r in part.select("snapshot_date").distinct().collect())
