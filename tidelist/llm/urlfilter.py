@@ -11,10 +11,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelist.llm.common import byte_texts, lean
+from tidelist.llm.common import byte_texts, discard, lean, written
 from tidelist.llm.markov import Model, learnt
 
 ALLOW, BLOCK = "allow", "block"
@@ -53,26 +53,41 @@ def with_rule(urls: DataFrame, rules: dict[str, str]) -> DataFrame:
 def train(ruled: DataFrame, order: int = ORDER) -> tuple[Model, float] | None:
     """Models of accepted and rejected URLs and the limit, from (url, ruled).
 
-    Every different URL of either verdict is fitted, or calibrated on if its hash says so; a
-    verdict without URLs for one of these gives all it has to both. None if either verdict has no
-    URL. Spark counts grams and ratios; the driver gets the counts.
+    Of all different URLs of a verdict, in the order of their hashes, one in CALIBRATION_SHARE is
+    calibrated on and the others are fitted; a single one serves both. None if either verdict has
+    no URL. Spark counts grams and ratios; the driver gets the counts.
     """
     known = F.col("ruled").isin(ALLOW, BLOCK) & F.col("url").isNotNull()
     different = ruled.where(known).select(F.col("ruled").alias("kind"), F.col("url").alias("text")).distinct()
-    calibrates = F.pmod(F.xxhash64("text"), F.lit(CALIBRATION_SHARE)) == 0
-    parts = {
-        r["kind"]: (r["fitted"], r["kept"])
-        for r in different.groupBy("kind")
-        .agg(F.count_if(~calibrates).alias("fitted"), F.count_if(calibrates).alias("kept"))
-        .collect()
-    }
-    if len(parts) < 2:
+    by_hash = different.orderBy("kind", F.xxhash64("text"), "text")
+    kept = written(
+        by_hash.withColumns({"part": F.spark_partition_id(), "at": F.monotonically_increasing_id()}), "urls"
+    )
+    counts = {r["kind"]: r["count"] for r in kept.groupBy("kind").count().collect()}
+    if len(counts) < 2:
         return None
-    lacking = lambda part: F.col("kind").isin([k for k, n in parts.items() if not n[part]])
-    model = learnt(different.where(~calibrates | lacking(0)), order, [ALLOW, BLOCK])
+    placed = _placed(kept)
+    calibrates = F.col("place") % CALIBRATION_SHARE == 0
+    single = F.col("kind").isin([kind for kind, n in counts.items() if n == 1])
+    model = learnt(placed.where(~calibrates | single), order, [ALLOW, BLOCK])
     if model is None:
         return None
-    return model, _limit(_ratios(different.where(calibrates | lacking(1)), model))
+    limit = _limit(_ratios(placed.where(calibrates), model))
+    discard(kept)
+    return model, limit
+
+
+def _placed(urls: DataFrame) -> DataFrame:
+    """(kind, text, place): the number of each text among those of its kind, from 0.
+
+    ``urls`` has (kind, text, part, at): sorted parts, and ascending numbers within them. Only the
+    parts' sizes are added up, so no task sees all texts.
+    """
+    runs = urls.groupBy("part", "kind").agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    earlier = Window.partitionBy("kind").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = runs.select("part", "kind", "first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    place = F.col("at") - F.col("first") + F.col("before")
+    return urls.join(starts, ["part", "kind"]).select("kind", "text", place.alias("place"))
 
 
 def _ratios(urls: DataFrame, model: Model) -> dict[str, dict[int, int]]:
