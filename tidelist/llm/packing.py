@@ -35,18 +35,30 @@ COMMON = 1 / 8  # share of a shard's documents from which an id has a row instea
 K1, B = 1.2, 0.75
 
 
-def _terms(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct ids of a document and how often each occurs."""
-    row = np.sort(ids, kind="stable")
-    first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
-    return row[first], np.diff(np.append(first, len(row)))
+def _impacts(
+    docs: list[np.ndarray], idf: np.ndarray, mean_length: float
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ids, BM25 impacts, bounds): the distinct ids of each document in order, without its end.
 
-
-def _impacts(ids: np.ndarray, idf: np.ndarray, mean_length: float) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct ids of a document, without its end, and their BM25 impacts."""
-    term, tf = _terms(ids[:-1]) if len(ids) > 1 else (ids[:0], ids[:0])
-    norm = K1 * (1 - B + B * len(ids) / mean_length)
-    return term, (idf[term] * tf * (K1 + 1) / (tf + norm)).astype(np.float32)
+    Those of document k lie from ``bounds[k]`` to ``bounds[k + 1]``.
+    """
+    if not docs:
+        return np.zeros(0, np.uint16), np.zeros(0, np.float32), np.zeros(1, np.int64)
+    length = np.array([len(ids) for ids in docs])
+    row = np.concatenate([ids[:-1] for ids in docs])
+    ends = np.cumsum(np.maximum(length - 1, 0))
+    start = 0
+    for end in ends.tolist():
+        row[start:end].sort(kind="stable")
+        start = end
+    first = np.ones(len(row), bool)
+    np.not_equal(row[1:], row[:-1], out=first[1:])
+    first[ends[ends < len(row)]] = True
+    at = np.flatnonzero(first)
+    term, tf = row[at], np.diff(np.append(at, len(row)))
+    bounds = np.concatenate([[0], np.searchsorted(at, ends)])
+    norm = np.repeat(K1 * (1 - B + B * length / mean_length), np.diff(bounds))
+    return term, (idf[term] * tf * (K1 + 1) / (tf + norm)).astype(np.float32), bounds
 
 
 class Likeness:
@@ -59,9 +71,9 @@ class Likeness:
     def vectors(self, docs: list[np.ndarray]) -> np.ndarray:
         out = np.zeros((len(docs), AXES), np.float32)
         rows = np.empty_like(self.axes)  # kept, as new memory for every document costs more than filling it
-        for i, ids in enumerate(docs):
-            term, impact = _impacts(ids, self.idf, self.mean_length)
-            vector = impact @ np.take(self.axes, term, axis=0, out=rows[: len(term)], mode="clip")
+        term, impact, bounds = _impacts(docs, self.idf, self.mean_length)
+        for i, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
+            vector = impact[a:b] @ np.take(self.axes, term[a:b], axis=0, out=rows[: b - a], mode="clip")
             out[i] = vector / max(float(np.linalg.norm(vector)), 1e-9)
         return out
 
@@ -137,22 +149,12 @@ class Shard:
 
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean_length: float):
         self.used = np.zeros(len(docs), bool)
-        self.queries: list[np.ndarray] = []
         self.ids = len(idf)
-        impacts = []
-        for ids in docs:
-            term, impact = _impacts(ids, idf, mean_length)
-            impacts.append(impact)
-            self.queries.append(term)
-        term = np.concatenate(self.queries) if docs else np.zeros(0, np.uint16)
-        doc = np.repeat(np.arange(len(docs), dtype=np.int64), [len(t) for t in self.queries])
+        term, impact, bounds = _impacts(docs, idf, mean_length)
+        self.queries = [term[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+        doc = np.repeat(np.arange(len(docs), dtype=np.int64), np.diff(bounds))
         order = np.argsort(term, kind="stable")
-        self._index(
-            np.arange(len(docs)),
-            term[order],
-            doc[order],
-            np.concatenate(impacts)[order] if docs else np.zeros(0, np.float32),
-        )
+        self._index(np.arange(len(docs)), term[order], doc[order], impact[order])
 
     def _index(self, docs: np.ndarray, term: np.ndarray, doc: np.ndarray, impact: np.ndarray) -> None:
         """Postings in order of ids; ``doc`` is a place in ``docs``."""
@@ -259,23 +261,18 @@ def _powers(pieces: list, total: int, sequence: int) -> list:
     return cut
 
 
-def document_frequencies(tokens: DataFrame, dtype: str) -> DataFrame:
-    """(id, n): in how many documents each id occurs."""
+def document_frequencies(counts: DataFrame) -> DataFrame:
+    """(id, n): in how many documents each id occurs, from the ``counts`` of a token table's tasks."""
 
     @lean
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(np.iinfo(np.uint16).max + 1, np.int64)
+    def apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for raw in batch.column(0).to_pylist():
-                ids = np.frombuffer(raw, dtype)[:-1]
-                if len(ids):
-                    if (highest := int(ids.max())) >= len(total):
-                        total = np.append(total, np.zeros(highest + 1 - len(total), np.int64))
-                    total[ids] += 1  # once for each distinct id
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["id", "n"])
+                seen, n = np.frombuffer(raw, "<i8").reshape(2, -1)
+                yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(n)], ["id", "n"])
 
-    return tokens.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    rows = counts.select("counts").where("counts IS NOT NULL")
+    return rows.mapInArrow(apart, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def _dealt(tokens: DataFrame, dtype: str, idf, mean: float, count: int, total: int) -> DataFrame:
@@ -329,10 +326,11 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int, window: int = WINDOW) ->
     spark = docs.sparkSession
     dtype = id_type(vocabulary)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    tokens = written(token_table(docs, vocabulary, end_id), "tokens")
+    stored = written(token_table(docs, vocabulary, end_id, counted=True), "tokens")
+    tokens = stored.where("n IS NOT NULL").drop("counts")
     count, total = tokens.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     # One row per id of the vocabulary at most.
-    seen = document_frequencies(tokens, dtype).toPandas()
+    seen = document_frequencies(stored).toPandas()
     df = np.zeros(int(seen["id"].max()) + 1 if len(seen) else 1)
     df[seen["id"]] = seen["n"]
     idf = spark.sparkContext.broadcast(np.log1p((count - df + 0.5) / (df + 0.5)).astype(np.float32))

@@ -9,6 +9,7 @@ library for all new ones at once; numpy then lays the ids of all words in a row.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 
@@ -29,15 +30,26 @@ LETTER = "[A-Za-zÀ-ÖØ-öø-ÿ]"
 LETTERS = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 
 
+def _plain(definition: bytes) -> bytes:
+    """The definition for words of lower-case letters: not normalised, parted at spaces.
+
+    A pattern that takes letters in a row leaves such words whole, but takes longer.
+    """
+    plain = json.loads(definition) | {"normalizer": None}
+    steps = (plain["pre_tokenizer"] or {}).get("pretokenizers") or []
+    if [s["type"] for s in steps] == ["Split", "ByteLevel"]:
+        steps[0] = {"type": "WhitespaceSplit"}
+    return json.dumps(plain).encode()
+
+
 class WordEncoder:
     """Ids of texts as little-endian integers of ``dtype``."""
 
     def __init__(self, definition: bytes):
-        from tokenizers import Tokenizer, normalizers
+        from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_buffer(definition)
-        self.plain = Tokenizer.from_buffer(definition)  # for lower-case letters of Latin-1
-        self.plain.normalizer = normalizers.Sequence([])
+        self.plain = Tokenizer.from_buffer(_plain(definition))  # for lower-case letters of Latin-1
         vocabulary = self.tokenizer.get_vocab()
         self.dtype = np.dtype("<u2" if max(vocabulary.values()) < 1 << 16 else "<u4")
         alone = self._ids(SEPARATOR)
@@ -49,7 +61,7 @@ class WordEncoder:
         self.separator = alone[0] if len(alone) == 1 else None
         self.closing = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a piece
         self.closing[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.young: dict[bytes, bytes] = {}
+        self.young: dict[bytes, bytes] = {b"": b""}
         self.old: dict[bytes, bytes] = {}
 
     def _ids(self, text: str) -> list[int]:
@@ -79,27 +91,33 @@ class WordEncoder:
             raw = ids.tobytes()
             yield from [raw[a:b] for a, b in zip((starts * width).tolist(), (ends * width).tolist())]
 
-    def _learn(self, new: list[bytes]) -> dict[bytes, bytes]:
+    def _learn(self, new: list[bytes]) -> list[bytes]:
         """Ids of words that are not in the young generation; short ones are kept."""
         if len(self.young) > KEPT_WORDS:
-            self.old, self.young = self.young, {}
-        found = {w: ids for w in new if (ids := self.old.get(w)) is not None} if self.old else {}
-        letters, mixed, alone = [], [], []
-        for word in new:
-            if word in found:
+            self.old, self.young = self.young, {b"": b""}
+        ids: list = list(map(self.old.get, new)) if self.old else [None] * len(new)
+        letters, mixed, alone = [], [], []  # places in ``new``
+        for k, word in enumerate(new):
+            if ids[k] is not None:
                 continue
-            if len(word) > LONGEST_KEPT or self.separator is None or b"|" in word:
-                alone.append(word)
-            elif LETTERS.fullmatch(word):
-                letters.append(word)
+            if len(word) > LONGEST_KEPT or self.separator is None:
+                alone.append(k)
+            elif word.isalpha() or LETTERS.fullmatch(word):  # the first knows ASCII only, but is quick
+                letters.append(k)
+            elif b"|" in word:
+                alone.append(k)
             else:
-                mixed.append(word)
-        found.update(zip(letters, self._joined(letters, True)))
-        found.update(zip(mixed, self._joined(mixed, False)))
-        self.young.update(found)
-        once = {w: self._alone(w) for w in alone}
-        self.young.update((w, ids) for w, ids in once.items() if len(w) <= LONGEST_KEPT)
-        return found | once
+                mixed.append(k)
+        for places, by_letters in ((letters, True), (mixed, False)):
+            for k, found in zip(places, self._joined([new[k] for k in places], by_letters)):
+                ids[k] = found
+        for k in alone:
+            ids[k] = self._alone(new[k])
+        self.young.update(zip(new, ids))
+        for k in alone:
+            if len(new[k]) > LONGEST_KEPT:
+                del self.young[new[k]]
+        return ids
 
     def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, where each text's ids begin and end) of an Arrow column.
@@ -114,8 +132,9 @@ class WordEncoder:
         words = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
         ids = list(map(self.young.get, words))
         if None in ids:
-            learnt = self._learn([w for w, i in zip(words, ids) if i is None and w])
-            ids = [(learnt.get(w, b"") if i is None else i) for w, i in zip(words, ids)]
+            new = [k for k, i in enumerate(ids) if i is None]
+            for k, found in zip(new, self._learn([words[k] for k in new])):
+                ids[k] = found
         laid = pa.array(ids, pa.binary()).take(coded.indices)  # their bytes are all ids in a row
         offsets = np.frombuffer(laid.buffers()[1], "<i4", len(laid) + 1, laid.offset * 4)
         every = np.frombuffer(laid.buffers()[2] or b"", self.dtype)
@@ -148,28 +167,59 @@ def binaries(ids: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, offsets, pa.py_buffer(ids.tobytes())])
 
 
-def token_table(docs: DataFrame, path: str, end_id: int, key: str = "doc_id") -> DataFrame:
+class Frequencies:
+    """In how many of the documents that were added each id occurs; ends are not counted."""
+
+    def __init__(self):
+        self.total = np.zeros(np.iinfo(np.uint16).max + 1, np.int64)
+
+    def add(self, ids: np.ndarray, bounds: np.ndarray) -> None:
+        """Documents with their ends, as :func:`with_end` gives them."""
+        ids = ids.astype(np.intp)
+        if len(ids) and (highest := int(ids.max())) >= len(self.total):
+            self.total = np.append(self.total, np.zeros(highest + 1 - len(self.total), np.int64))
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            self.total[ids[a : b - 1]] += 1  # once for each distinct id
+
+    def raw(self) -> bytes:
+        """The ids that occur, then their counts, as integers of 64 bits."""
+        seen = np.flatnonzero(self.total)
+        return np.concatenate([seen, self.total[seen]]).astype("<i8").tobytes()
+
+
+def token_table(
+    docs: DataFrame, path: str, end_id: int, key: str = "doc_id", counted: bool = False
+) -> DataFrame:
     """(key, ids, n): each document's ids as little-endian integers and how many there are.
 
     A null text is empty; ``end_id`` is appended to every document. ``path`` is the vocabulary
     file; its content (bounded by the vocabulary) travels to the tasks. ``ids`` holds 16-bit
-    numbers for vocabularies of up to 65,536 ids, else 32-bit numbers.
+    numbers for vocabularies of up to 65,536 ids, else 32-bit numbers. With ``counted`` a column
+    ``counts`` follows; it is null but in one more row of each task, which has the document
+    frequencies in that task and null for ``n``.
     """
     with open(path, "rb") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())
     kind = docs.schema[key].dataType.simpleString()
+    names = [key, "ids", "n"] + ["counts"] * counted
 
     @lean
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by = encoder(shared.value)
+        frequencies, columns = Frequencies(), []
         for batch in batches:
             ids, bounds = with_end(*by.encode(batch.column(1)), end_id)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), binaries(ids, bounds), pa.array(np.diff(bounds), pa.int64())],
-                [key, "ids", "n"],
-            )
-
-    return docs.select(key, "text").mapInArrow(encode, f"{key} {kind}, ids binary, n long")
+            columns = [batch.column(0), binaries(ids, bounds), pa.array(np.diff(bounds), pa.int64())]
+            if counted:
+                frequencies.add(ids, bounds)
+                columns.append(pa.nulls(len(bounds) - 1, pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names)
+        if counted and columns:
+            empty = [pa.nulls(1, column.type) for column in columns[:-1]]
+            yield pa.RecordBatch.from_arrays([*empty, pa.array([frequencies.raw()], pa.binary())], names)
+
+    schema = f"{key} {kind}, ids binary, n long" + (", counts binary" if counted else "")
+    return docs.select(key, "text").mapInArrow(encode, schema)
 
 
 def id_type(path: str) -> str:
