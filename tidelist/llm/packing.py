@@ -16,6 +16,7 @@ sequences whose lengths are powers of two, which need no padding.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -61,12 +62,17 @@ def _impacts(
     return term, (idf[term] * tf * (K1 + 1) / (tf + norm)).astype(np.float32), bounds
 
 
+@lru_cache(1)  # a worker draws them once
+def _axes(ids: int) -> np.ndarray:
+    return np.random.default_rng(AXES).standard_normal((ids, AXES), np.float32)
+
+
 class Likeness:
     """Documents as unit vectors; the angles are about those of their impacts."""
 
     def __init__(self, idf: np.ndarray, mean_length: float):
         self.idf, self.mean_length = idf, mean_length
-        self.axes = np.random.default_rng(AXES).standard_normal((len(idf), AXES), np.float32)
+        self.axes = _axes(len(idf))
 
     def vectors(self, docs: list[np.ndarray]) -> np.ndarray:
         out = np.zeros((len(docs), AXES), np.float32)
